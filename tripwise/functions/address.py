@@ -17,13 +17,17 @@ def _alias_map() -> Column:
 
 
 def first_token(addr: Column) -> Column:
-    """Text before the first blank; '' when the address starts with a blank."""
-    return F.split_part(addr, F.lit(" "), F.lit(1))
+    """split_part(addr, ' ', 1): text before the first blank ('' when the
+    address starts with a blank, the whole text when it has none).
+    substring_index gives the same value without building a split array."""
+    return F.substring_index(addr, " ", 1)
 
 
 def second_token(addr: Column) -> Column:
-    """Second blank-separated token; '' when absent, NULL for NULL input."""
-    return F.split_part(addr, F.lit(" "), F.lit(2))
+    """split_part(addr, ' ', 2): text between the first and second blank;
+    '' when there is no blank, NULL for NULL input."""
+    two = F.substring_index(F.substring_index(addr, " ", 2), " ", -1)
+    return F.when(F.instr(addr, " ") == 0, F.lit("")).otherwise(two)
 
 
 def canonical_sido(token: Column) -> Column:
@@ -36,22 +40,39 @@ def sido_sgg(sido: Column, sgg: Column) -> Column:
     return F.trim(F.concat(sido, F.lit(" "), sgg))
 
 
-def region_columns(addr: Column) -> dict[str, Column]:
-    """The three processed columns for one address, Sejong rule included.
+def _token_sets() -> tuple[list[str], list[str]]:
+    """First tokens that yield an accepted province, and those that yield
+    the Sejong province, derived from the alias table: a token maps through
+    the table when listed, otherwise it passes through unchanged."""
+    amap = dict(alias_pairs())
+    valid = set(VALID_SIDO)
+    good = [a for a, c in amap.items() if c in valid] + [v for v in VALID_SIDO if v not in amap]
+    sejong = [a for a, c in amap.items() if c == SEJONG_SIDO]
+    if SEJONG_SIDO not in amap:
+        sejong.append(SEJONG_SIDO)
+    return good, sejong
 
-    The Sejong province has no districts, so its SGG is forced to one name
-    (and SIDO_SGG rebuilt) before validity is judged.
-    """
-    sido = canonical_sido(first_token(addr))
-    raw_sgg = second_token(addr)
-    is_sejong = sido == F.lit(SEJONG_SIDO)
-    sgg = F.when(is_sejong, F.lit(SEJONG_SGG)).otherwise(raw_sgg)
-    joined = F.when(is_sejong, F.concat(sido, F.lit(" " + SEJONG_SGG))).otherwise(sido_sgg(sido, raw_sgg))
-    return {"SIDO": sido, "SGG": sgg, "SIDO_SGG": joined}
+
+def _ends_with_suffix(c: Column) -> Column:
+    cond = None
+    for suffix in VALID_SGG_SUFFIXES:
+        e = c.endswith(suffix)
+        cond = e if cond is None else (cond | e)
+    return cond
+
+
+def is_valid_tokens(t1: Column, t2: Column) -> Column:
+    """Validity judged on the raw address tokens (same outcome as judging the
+    normalised columns): the first token must map to an accepted province,
+    and the district must end in an accepted suffix - always true for
+    Sejong, whose district is forced to a fixed name.  Hash-set membership
+    and a suffix test, so the filter stays cheap when pushed to the scan."""
+    good, sejong = _token_sets()
+    return t1.isin(*good) & (t1.isin(*sejong) | _ends_with_suffix(t2))
 
 
 def is_valid_region(sido: Column, sgg: Column) -> Column:
-    """Keep-form of the validity delete.
+    """Keep-form of the validity delete on normalised columns.
 
     The delete removes rows whose SIDO is NULL/''/unknown, or whose SGG is
     NULL/'' or ends in none of the accepted suffixes.  Its negation is
@@ -59,19 +80,42 @@ def is_valid_region(sido: Column, sgg: Column) -> Column:
     conjuncts are NULL (row dropped) when their input is NULL, and '' is
     neither a province nor suffix-terminated.
     """
-    ends = None
-    for suffix in VALID_SGG_SUFFIXES:
-        cond = sgg.endswith(suffix)
-        ends = cond if ends is None else (ends | cond)
-    return sido.isin(*VALID_SIDO) & ends
+    return sido.isin(*VALID_SIDO) & _ends_with_suffix(sgg)
+
+
+_T1, _T2 = "__addr_t1", "__addr_t2"
+
+
+def _with_tokens(df: DataFrame, addr_col: str) -> DataFrame:
+    a = F.col(addr_col)
+    return df.withColumns({_T1: first_token(a), _T2: second_token(a)})
+
+
+def _region_from_tokens(df: DataFrame) -> DataFrame:
+    """SIDO, SGG, SIDO_SGG from the token columns; each step is its own
+    projection so the alias lookup runs once per row.
+
+    The Sejong province has no districts, so its SGG is forced to one name
+    (and SIDO_SGG rebuilt) before validity is judged."""
+    out = df.withColumn("SIDO", canonical_sido(F.col(_T1)))
+    is_sejong = F.col("SIDO") == F.lit(SEJONG_SIDO)
+    out = out.withColumns({
+        "SGG": F.when(is_sejong, F.lit(SEJONG_SGG)).otherwise(F.col(_T2)),
+        "SIDO_SGG": F.when(is_sejong, F.concat(F.col("SIDO"), F.lit(" " + SEJONG_SGG)))
+                     .otherwise(sido_sgg(F.col("SIDO"), F.col(_T2))),
+    })
+    return out.drop(_T1, _T2)
 
 
 def with_region_columns(df: DataFrame, addr_col: str) -> DataFrame:
-    cols = region_columns(F.col(addr_col))
-    return df.withColumns(cols)
+    """Add SIDO/SGG/SIDO_SGG (no filtering)."""
+    return _region_from_tokens(_with_tokens(df, addr_col))
 
 
 def normalize_and_filter(df: DataFrame, addr_col: str) -> DataFrame:
-    """Add SIDO/SGG/SIDO_SGG from ``addr_col`` and drop invalid regions."""
-    out = with_region_columns(df, addr_col)
-    return out.filter(is_valid_region(F.col("SIDO"), F.col("SGG")))
+    """Add SIDO/SGG/SIDO_SGG from ``addr_col`` and drop invalid regions.
+    Rows are filtered on the tokens first, so the region columns are only
+    built for rows that are kept."""
+    tok = _with_tokens(df, addr_col)
+    kept = tok.filter(is_valid_tokens(F.col(_T1), F.col(_T2)))
+    return _region_from_tokens(kept)
