@@ -63,7 +63,7 @@ def scan_csv(spark: SparkSession, root: str, schema: T.StructType,
     which Spark applies while listing, before any byte is read."""
     df = with_source(spark.read.option("header", "true").option("recursiveFileLookup", "true")
                      .schema(schema).csv(root))
-    name = F.col(FILE_PATH)
+    name = relative_path(F.col(FILE_PATH), root)
     keep = F.lit(True)
     for word in exclude:
         keep = keep & ~name.contains(word)
@@ -72,6 +72,13 @@ def scan_csv(spark: SparkSession, root: str, schema: T.StructType,
     return df.filter(keep)
 
 
+def relative_path(path, root: str):
+    """Part of a (decoded) file path below ``root``."""
+    root = root.rstrip("/")
+    start = F.instr(path, root) + F.lit(len(root) + 1)
+    return path.substr(start, F.lit(1 << 20))
+
+
 def is_gps_file(name_col) -> "F.Column":
     return F.lower(name_col).contains("gps")
 
