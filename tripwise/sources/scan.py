@@ -89,3 +89,19 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
             .option("pathGlobFilter", glob).load(root)
             .select(F.col("path").alias(FILE_PATH), F.col("length").alias(FILE_SIZE)))
+
+
+def spread_if_unsplit(df: DataFrame, min_bytes: int = 8 << 20) -> DataFrame:
+    """Round-robin a freshly read table over the cluster when it arrives as a
+    single sizeable file (one file holding one Parquet row group cannot be
+    split, so every downstream narrow operator would run in one task).
+    Tables that arrive as many files - every table our own sinks write - are
+    returned untouched, so no shuffle is added at scale.  Decided from the
+    file listing and plan statistics only; no job is run."""
+    files = df.inputFiles()
+    if len(files) != 1:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size < min_bytes:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
