@@ -31,6 +31,7 @@ from . import calendar as CAL
 from . import marts as M
 from . import pipeline as PL
 from . import processed as P
+from . import weekly as W
 from .catalog import Tables, register
 from .oracle import MARTS, with_ctes
 
@@ -845,3 +846,47 @@ def q_week_cursor(spark, sf_dir):
 
 
 _ = (fx, split_range, to_double)
+
+
+_REFRESH_SQL = {
+    "cumulative_travel_stats": "mart_travel_stats",
+    "traveler_gender_age_distribution": "mart_gender_age",
+    "traveler_job_distribution": "mart_job_distribution",
+    "region_visit_dataset": "mart_region_visit",
+    "region_visit_map": "mart_visit_map",
+    "mvmn_price": "mart_mvmn_price",
+    "region_activity_distribution": "mart_activity_distribution",
+    "region_activity_consumption": "mart_activity_consumption",
+    "activity_consume_by_area": "mart_consume_by_area",
+    "lodging_type_distribution_with_cost": "mart_lodging_cost",
+    "weekly_spending": "mart_weekly_spending",
+    "region_visit_count": "mart_visit_count",
+    "region_visitarea_analysis": "mart_satisfaction",
+    "region_spatial_analysis": "mart_spatial",
+}
+
+
+def _refresh_oracle() -> str:
+    """Row count of every mart, each computed by its own oracle statement."""
+    parts = []
+    for mart, key in _REFRESH_SQL.items():
+        sql = MARTS[key]
+        parts.append(f"SELECT '{mart}' AS MART, (SELECT COUNT(*) FROM ({sql})) AS ROW_COUNT")
+    return " UNION ALL ".join(parts)
+
+
+@register("analysis_refresh", _refresh_oracle())
+def q_analysis_refresh(spark, sf_dir):
+    """Whole weekly analysis step: all fourteen marts written, then their row
+    counts read back in one job."""
+    root = scratch_path(spark, "refresh")
+    t = Tables(spark, sf_dir)
+    inputs = {n: t.raw(n) for n in ("travel", "traveller_master", "mvmn_consume",
+                                    "activity_consume", "lodge_consume")}
+    inputs.update(processed_visit=t.processed_visit, processed_lodge=t.processed_lodge, codes=t.codes)
+    paths = W.refresh_analysis(spark, inputs, f"{root}/analysis", f"{root}/tmp")
+    out = None
+    for mart, path in paths.items():
+        part = spark.read.parquet(path).select(F.lit(mart).alias("MART"))
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy("MART").agg(F.count(F.lit(1)).alias("ROW_COUNT"))
