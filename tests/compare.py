@@ -6,8 +6,12 @@ from __future__ import annotations
 import datetime as _dt
 import math
 
+import os
+
 import duckdb
 
+EXACT = os.environ.get("TRIPWISE_EXACT_FLOATS", "1") == "1"
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations"]
@@ -26,7 +30,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return repr(round(v, 9))
+        return repr(v) if EXACT else repr(round(v, 9))
     if isinstance(v, _dt.datetime):
         return v.isoformat()
     if isinstance(v, _dt.date):

@@ -92,3 +92,20 @@ def test_typed_empty(spark):
     for name, schema in RAW_SCHEMAS.items():
         df = L.typed_empty(spark, name)
         assert df.schema == schema and df.count() == 0
+
+
+def test_truncate_keeps_schema(spark):
+    from tripwise.schemas import RAW_SCHEMAS as R
+    from tripwise.session import scratch_path
+    path = scratch_path(spark, "t-truncate") + "/travel"
+    spark.createDataFrame([("1", "2", "2020-01-01", None, "x")], R["travel"]).write.parquet(path)
+    out = L.truncate(spark, "travel", path)
+    assert out.count() == 0 and out.schema == R["travel"]
+
+
+def test_raw_sink_routing():
+    from tripwise.sources.sinks import is_metadata_table, table_path
+    assert is_metadata_table("tc_codea_코드A") and is_metadata_table("tn_traveller_master_여행객 Master")
+    assert is_metadata_table("tn_activity_his_활동내역")
+    assert not is_metadata_table("tn_activity_consume_his_활동소비내역")
+    assert table_path("r", "tc_sgg") == "r/metadata/tc_sgg" and table_path("r", "travel") == "r/travel"

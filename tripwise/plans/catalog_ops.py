@@ -268,8 +268,9 @@ def q_load_once(spark, sf_dir):
 @register("ctas", MARTS["mart_gender_age"])
 def q_ctas(spark, sf_dir):
     path = scratch_path(spark, "ctas")
-    name = "tripwise_ctas_" + path.rsplit("-", 1)[-1]
-    return L.ctas(M.gender_age(Tables(spark, sf_dir).raw("traveller_master")), name, path)
+    name = "traveler_gender_age_" + path.rsplit("-", 1)[-1]
+    db = L.ensure_database(spark, "tripwise_analysis", scratch_path(spark, "analysis-db"))
+    return L.ctas(M.gender_age(Tables(spark, sf_dir).raw("traveller_master")), name, path, database=db)
 
 
 @register("insert_select", with_ctes("SELECT * FROM processed_lodge", "processed_lodge"))
@@ -695,6 +696,14 @@ def q_coercion_audit(spark, sf_dir):
     return Q.coercion_audit(df, "X_COORD")
 
 
+@register("coercion_summary", with_ctes(f"""
+    SELECT CAST(SUM(CASE WHEN X IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS NULLS_BEFORE,
+           CAST(SUM(CASE WHEN TRY_CAST(X AS DOUBLE) IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS NULLS_AFTER
+    FROM (SELECT {_X_TEXT} AS X FROM visit_area_info)""", "visit_area_info"))
+def q_coercion_summary(spark, sf_dir):
+    return Q.coercion_summary(_visit_text_coords(Tables(spark, sf_dir)), "X_COORD")
+
+
 @register("profile_duplicates", with_ctes("""
     SELECT TRAVEL_ID, MOBILE_NUM_ID, DT_YMD, REGION, COUNT(*) AS DUP_COUNT
     FROM gps GROUP BY ALL HAVING COUNT(*) > 1""", "gps"))

@@ -86,11 +86,25 @@ def weekly_append(spark: SparkSession, raw_root: str, table: str, week: str, tar
     return spark.read.schema(RAW_SCHEMAS[table]).parquet(target)
 
 
-def ctas(df: DataFrame, name: str, path: str) -> DataFrame:
+def truncate(spark: SparkSession, table: str, path: str) -> DataFrame:
+    """TRUNCATE: replace a typed table's data with no rows, keeping its schema."""
+    typed_empty(spark, table).write.mode("overwrite").parquet(path)
+    return spark.read.schema(RAW_SCHEMAS[table]).parquet(path)
+
+
+def ensure_database(spark: SparkSession, database: str, location: str) -> str:
+    """A catalog namespace (schema) whose files live under ``location``."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location}'")
+    return database
+
+
+def ctas(df: DataFrame, name: str, path: str, database: str | None = None) -> DataFrame:
     """CREATE OR REPLACE TABLE ... AS SELECT: an external catalog table
-    whose data lives at ``path``."""
-    df.write.mode("overwrite").option("path", path).format("parquet").saveAsTable(name)
-    return df.sparkSession.table(name)
+    whose data lives at ``path``; ``database`` qualifies the name instead of
+    switching the session's current namespace."""
+    full = f"`{database}`.`{name}`" if database else name
+    df.write.mode("overwrite").option("path", path).format("parquet").saveAsTable(full)
+    return df.sparkSession.table(full)
 
 
 def insert_select(df: DataFrame, name: str) -> DataFrame:
