@@ -77,3 +77,22 @@ def test_processed_table_is_idempotent(spark, sf_dir):
     once = P.normalize_table(raw, "lodge_consume")
     twice = P.normalize_table(once, "lodge_consume")
     assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_TOKENS = st.one_of(st.none(), st.sampled_from(["서울특별시", "서울", "세종", "세종시", "제주도", "경기",
+                                                "전북특별자치도", "", " ", "x"]),
+                    st.text(alphabet="구시군읍 서울세종", max_size=4))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(_TOKENS, _TOKENS), min_size=1, max_size=20))
+def test_property_token_filter_equals_column_filter(spark, rows):
+    """Property: for arbitrary addresses, the cheap token-level filter keeps
+    exactly the rows the column-level keep form keeps."""
+    addrs = [(i, None if a is None else (a if b is None else f"{a} {b}")) for i, (a, b) in enumerate(rows)]
+    df = spark.createDataFrame(addrs, "ID int, ADDR string")
+    fast = {r.ID for r in A.normalize_and_filter(df, "ADDR").collect()}
+    slow = {r.ID for r in P.valid_rows(A.with_region_columns(df, "ADDR")).collect()}
+    assert fast == slow

@@ -899,3 +899,19 @@ def q_analysis_refresh(spark, sf_dir):
         part = spark.read.parquet(path).select(F.lit(mart).alias("MART"))
         out = part if out is None else out.unionByName(part)
     return out.groupBy("MART").agg(F.count(F.lit(1)).alias("ROW_COUNT"))
+
+
+@register("bucketed_region_visit", with_ctes("SELECT * FROM region_visit_dataset", "region_visit_dataset"))
+def q_bucketed_region_visit(spark, sf_dir):
+    """Region visits over the production layout: travel and processed visits
+    stored bucketed on TRAVEL_ID, so the de-duplication and the existence
+    join run on co-partitioned inputs (no shuffle of either table)."""
+    t = Tables(spark, sf_dir)
+    db = L.ensure_database(spark, "tripwise_processed", scratch_path(spark, "processed-db"))
+    tag = scratch_path(spark, "bucketed").rsplit("-", 1)[-1]
+    n = spark.sparkContext.defaultParallelism
+    travel = SK.write_bucketed(t.raw("travel"), db, f"travel_{tag}", scratch_path(spark, "b-travel"),
+                               "TRAVEL_ID", n)
+    visit = SK.write_bucketed(t.processed_visit, db, f"visit_area_info_{tag}",
+                              scratch_path(spark, "b-visit"), "TRAVEL_ID", n)
+    return P.region_visit(travel, visit)

@@ -31,6 +31,22 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Sizing for a cluster run: scan splits and the initial shuffle
+    partition count follow the input size (about one target-sized partition
+    per split, never fewer than two waves of cores); AQE then coalesces
+    small shuffle partitions to the advisory size and splits skewed ones."""
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+    }
+
+
 def get_session(app: str = "tripwise", master: str | None = None,
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:

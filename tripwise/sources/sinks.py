@@ -125,3 +125,15 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     """Remove a folder (e.g. a stream checkpoint being reset)."""
     fs, hpath, _ = _fs(spark, path)
     return bool(fs.delete(hpath, True)) if fs.exists(hpath) else False
+
+
+def write_bucketed(df: DataFrame, database: str, name: str, path: str, key: str,
+                   buckets: int) -> DataFrame:
+    """Catalog table hash-bucketed (and sorted) on ``key``.  Tables joined
+    on the same key with the same bucket count are read already
+    co-partitioned, so the weekly marts that join them skip the shuffle of
+    both sides.  Each write task emits at most one file per bucket."""
+    full = f"`{database}`.`{name}`"
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet")
+     .option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(full))
+    return df.sparkSession.table(full)
