@@ -77,8 +77,12 @@ def profile_duplicates(df: DataFrame) -> DataFrame:
 
 
 def missing_ids(expected: DataFrame, present: DataFrame, key: str = "TRAVEL_ID") -> DataFrame:
-    """Keys listed in ``expected`` that never occur in ``present``."""
-    return expected.select(key).distinct().join(present.select(key), key, "left_anti")
+    """Keys listed in ``expected`` that never occur in ``present``.  Both
+    key sets are de-duplicated first: map-side partial aggregation collapses
+    a hot key before the shuffle (the build side of an anti join cannot be
+    split by skew handling), and the distinct's partitioning already
+    satisfies the join."""
+    return expected.select(key).distinct().join(present.select(key).distinct(), key, "left_anti")
 
 
 def region_key_symdiff(df: DataFrame, key: str = "TRAVEL_ID", region: str = "REGION",

@@ -224,11 +224,12 @@ def q_bulk_load(spark, sf_dir):
 def q_weekly_append(spark, sf_dir):
     root = scratch_path(spark, "append")
     t = Tables(spark, sf_dir)
-    travel = t.raw("travel")
-    SK.write_weekly(_weekly(travel, "TRAVEL_END_YMD"), f"{root}/raw", "travel")
+    travel = _weekly(t.raw("travel"), "TRAVEL_END_YMD")
+    SK.write_weekly(travel, f"{root}/raw", "travel")
     target = f"{root}/typed/travel"
-    S.before_date(travel, "TRAVEL_END_YMD", CUTOFF).write.parquet(target)
-    return L.weekly_append(spark, f"{root}/raw", "travel", WEEK_START, target)
+    L.write_typed_weeks(S.before_date(travel, "TRAVEL_END_YMD", CUTOFF), target)
+    L.weekly_append(spark, f"{root}/raw", "travel", WEEK_START, target)
+    return L.weekly_append(spark, f"{root}/raw", "travel", WEEK_START, target)   # re-run: no change
 
 
 @register("align_schema", with_ctes("SELECT * FROM move", "move"))

@@ -75,10 +75,11 @@ def region_visit(travel: DataFrame, visit_p: DataFrame) -> DataFrame:
 
     The triple is de-duplicated before the join (map-side partial
     aggregation collapses repeated visits, including a hot travel id), and
-    the join only tests existence, so travel never fans rows out."""
+    the join only tests existence against de-duplicated travel ids, so
+    neither side can fan rows out or concentrate a hot key in one task."""
     triples = (visit_p.filter(F.col("SIDO").isNotNull())
                .select("TRAVEL_ID", "SIDO", F.col("SIDO_SGG").alias("REGION"))
                .distinct())
-    known = triples.join(travel.select("TRAVEL_ID"), "TRAVEL_ID", "left_semi")
+    known = triples.join(travel.select("TRAVEL_ID").distinct(), "TRAVEL_ID", "left_semi")
     return (known.groupBy("SIDO", "REGION").agg(F.count(F.lit(1)).alias("VISIT_COUNT"))
             .orderBy(F.col("VISIT_COUNT").desc()))

@@ -70,20 +70,35 @@ def read_matching(spark: SparkSession, root: str, pattern: str,
 
 def bulk_load(spark: SparkSession, raw_root: str, table: str, target: str,
               pattern: str | None = None, skip_bad_rows: bool = True) -> DataFrame:
-    """Initial load of one typed table from every raw file of that table."""
+    """Initial load of one typed table from every raw file of that table
+    (replaces the table: truncate + load)."""
     src = read_matching(spark, f"{raw_root}/{table}", pattern or ".*\\.parquet$")
     typed = (load_skip_bad_rows(src, RAW_SCHEMAS[table]) if skip_bad_rows
              else align_schema(src, RAW_SCHEMAS[table]))
-    typed.write.mode("append").parquet(target)
+    typed.write.mode("overwrite").parquet(target)
     return spark.read.schema(RAW_SCHEMAS[table]).parquet(target)
 
 
+def write_typed_weeks(df: DataFrame, target: str) -> None:
+    """Typed table stored by load week: a week written again replaces that
+    week only (dynamic partition overwrite), so re-running a load is
+    exactly-once."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("week").parquet(target))
+
+
+def read_typed_weeks(spark: SparkSession, table: str, target: str) -> DataFrame:
+    schema = T.StructType(RAW_SCHEMAS[table].fields + [T.StructField("week", T.StringType(), True)])
+    return spark.read.schema(schema).parquet(target).drop("week")
+
+
 def weekly_append(spark: SparkSession, raw_root: str, table: str, week: str, target: str) -> DataFrame:
-    """Append one week: only the ``week=<week>`` partition is listed and read
-    (partition pruning), then aligned and appended to the typed table."""
+    """Load one week: only the ``week=<week>`` partition of the raw zone is
+    listed and read (partition pruning), aligned to the typed schema and
+    written as that week of the typed table."""
     src = spark.read.parquet(f"{raw_root}/{table}").filter(F.col("week") == week).drop("week")
-    load_skip_bad_rows(src, RAW_SCHEMAS[table]).write.mode("append").parquet(target)
-    return spark.read.schema(RAW_SCHEMAS[table]).parquet(target)
+    write_typed_weeks(load_skip_bad_rows(src, RAW_SCHEMAS[table]).withColumn("week", F.lit(week)), target)
+    return read_typed_weeks(spark, table, target)
 
 
 def truncate(spark: SparkSession, table: str, path: str) -> DataFrame:
