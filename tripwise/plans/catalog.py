@@ -12,7 +12,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import fixtures as fx
-from ..schemas import CODE_REGION  # noqa: F401  (documented default)
 from . import marts as M
 from . import oracle as O
 from . import processed as P

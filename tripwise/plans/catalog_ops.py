@@ -11,11 +11,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .. import fixtures as fx
 from ..fixtures import (FIXTURE_BASE_DATE as BASE, FIXTURE_CUTOFF_DATE as CUTOFF,
                         FIXTURE_WEEK_END as WEEK_END, FIXTURE_WEEK_START as WEEK_START)
 from ..functions import address as A
-from ..functions.coerce import split_range, to_double
 from ..functions.dates import lenient_date, slice_week_start, week_key
 from ..operators import cleanse as C
 from ..operators import consolidate as K
@@ -35,9 +33,6 @@ from . import weekly as W
 from .catalog import Tables, register
 from .oracle import MARTS, with_ctes
 
-GPS_2022_LETTERS = ["a", "b", "c", "d"]  # region order of REGIONS
-
-
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -821,6 +816,19 @@ def q_pipeline_reset_then_week(spark, sf_dir):
                   f"{root}/ckpt", CUTOFF, WEEK_START, WEEK_END)
 
 
+@register("pipeline_incremental_week", with_ctes(
+    "SELECT * FROM processed_visit WHERE VISIT_END_YMD <= DATE '1998-06-20'", "processed_visit"))
+def q_pipeline_incremental_week(spark, sf_dir):
+    """Reset run for the first week after the cut-off, then an incremental
+    run for the next week: the checkpoint carries over, so only the new
+    week's files are read."""
+    root = scratch_path(spark, "pipeline-incr")
+    raw = Tables(spark, sf_dir).raw("visit_area_info")
+    args = (f"{root}/raw", f"{root}/processed", f"{root}/ckpt", CUTOFF)
+    PL.run(spark, "reset", "visit_area_info", raw, *args, WEEK_START, WEEK_END)
+    return PL.run(spark, "incremental", "visit_area_info", raw, *args, "1998-06-14", "1998-06-20")
+
+
 @register("backfill_weeks", with_ctes(
     f"SELECT *, {duck_week('PAYMENT_DT_YMD')} AS week FROM mvmn_consume WHERE PAYMENT_DT_YMD IS NOT NULL",
     "mvmn_consume"))
@@ -855,8 +863,6 @@ def q_week_cursor(spark, sf_dir):
     return today.select("TODAY", *[c.alias(n) for n, c in CAL.week_cursor(F.col("TODAY"), BASE).items()])
 
 
-_ = (fx, split_range, to_double)
-
 
 _REFRESH_SQL = {
     "cumulative_travel_stats": "mart_travel_stats",
