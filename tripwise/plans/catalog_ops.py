@@ -899,7 +899,10 @@ def q_analysis_refresh(spark, sf_dir):
     t = Tables(spark, sf_dir)
     inputs = {n: t.raw(n) for n in ("travel", "traveller_master", "mvmn_consume",
                                     "activity_consume", "lodge_consume")}
-    inputs.update(processed_visit=t.processed_visit, processed_lodge=t.processed_lodge, codes=t.codes)
+    # the processed step has written its tables before the analysis step runs
+    inputs.update(processed_visit=W.materialize(t.processed_visit, f"{root}/processed/visit_area_info"),
+                  processed_lodge=W.materialize(t.processed_lodge, f"{root}/processed/lodge_consume"),
+                  codes=t.codes)
     paths = W.refresh_analysis(spark, inputs, f"{root}/analysis", f"{root}/tmp")
     out = None
     for mart, path in paths.items():

@@ -16,7 +16,7 @@ from . import marts as M
 from .processed import region_visit
 
 
-def _materialize(df: DataFrame, path: str) -> DataFrame:
+def materialize(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -25,8 +25,8 @@ def refresh_analysis(spark: SparkSession, t: dict[str, DataFrame], out_root: str
                      scratch_root: str) -> dict[str, str]:
     """``t`` holds travel, traveller_master, mvmn_consume, activity_consume,
     lodge_consume (raw), processed_visit, processed_lodge, codes."""
-    rv = _materialize(region_visit(t["travel"], t["processed_visit"]), f"{scratch_root}/region_visit")
-    act = _materialize(M.activity_by_region(t["processed_visit"], t["activity_consume"], t["codes"]),
+    rv = materialize(region_visit(t["travel"], t["processed_visit"]), f"{scratch_root}/region_visit")
+    act = materialize(M.activity_by_region(t["processed_visit"], t["activity_consume"], t["codes"]),
                        f"{scratch_root}/activity_by_region")
     spatial = M.spatial(t["processed_visit"])
     marts = {
