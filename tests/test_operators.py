@@ -109,3 +109,23 @@ def test_raw_sink_routing():
     assert is_metadata_table("tn_activity_his_활동내역")
     assert not is_metadata_table("tn_activity_consume_his_활동소비내역")
     assert table_path("r", "tc_sgg") == "r/metadata/tc_sgg" and table_path("r", "travel") == "r/travel"
+
+
+def test_region_key_symdiff_against_set_logic(spark):
+    from itertools import combinations
+
+    from tripwise.operators import quality as Q
+    from tripwise.schemas import REGIONS
+    rows = ([("hot", "capital")] * 50 + [("hot", "east")] * 5       # hot key in two regions
+            + [("k1", "west"), ("k1", "west"), ("k2", "jeju"), ("k3", "mars"),
+               (None, "capital"), ("k4", None)])
+    df = spark.createDataFrame(rows, "TRAVEL_ID string, REGION string")
+    order = lambda t: tuple("" if v is None else v for v in t)
+    got = sorted((tuple(r) for r in Q.region_key_symdiff(df).collect()), key=order)
+    held = {}
+    for k, reg in rows:
+        if reg in REGIONS:
+            held.setdefault(k, set()).add(reg)
+    want = list((a, b, k, a if a in s else b) for k, s in held.items()
+                  for a, b in combinations(REGIONS, 2) if (a in s) != (b in s))
+    assert got == sorted(want, key=order)

@@ -89,16 +89,24 @@ def region_key_symdiff(df: DataFrame, key: str = "TRAVEL_ID", region: str = "REG
                        regions: list[str] = REGIONS) -> DataFrame:
     """For every pair of regions, the keys held by exactly one of the two.
 
-    Keys are reduced to one row per (key, region) and then to the set of
-    regions holding each key; each key is checked against the fixed list
-    of region pairs, so no pairwise join of key sets is needed."""
-    pairs = [F.struct(F.lit(a).alias("REGION_A"), F.lit(b).alias("REGION_B"))
-             for a, b in combinations(regions, 2)]
-    holders = (df.select(key, region).distinct()
-               .groupBy(key).agg(F.collect_set(region).alias("HOLDERS")))
+    Each row contributes its region's bit, and one grouped ``bit_or`` per
+    key yields the set of regions holding it: a fixed-width aggregate that
+    combines map-side (a hot key leaves each map task as one row) and needs
+    a single shuffle.  Each key is then checked against the fixed list of
+    region pairs, so no pairwise join of key sets is needed.  Rows of a
+    region outside ``regions`` take part in no pair."""
+    if len(regions) > 62:
+        raise ValueError("region bit mask holds at most 62 regions")
+    pairs = [F.struct(F.lit(a).alias("REGION_A"), F.lit(b).alias("REGION_B"),
+                      F.lit(1 << i).alias("BIT_A"), F.lit(1 << j).alias("BIT_B"))
+             for (i, a), (j, b) in combinations(enumerate(regions), 2)]
+    bits = F.create_map(*[x for i, r in enumerate(regions) for x in (F.lit(r), F.lit(1 << i))])
+    bit = F.try_element_at(bits, F.col(region))
+    holders = (df.select(key, bit.alias("BIT")).filter(F.col("BIT").isNotNull())
+               .groupBy(key).agg(F.bit_or("BIT").alias("HOLDERS")))
     per_pair = holders.select(key, "HOLDERS", F.explode(F.array(*pairs)).alias("P"))
-    in_a = F.array_contains("HOLDERS", F.col("P.REGION_A"))
-    in_b = F.array_contains("HOLDERS", F.col("P.REGION_B"))
+    in_a = (F.col("HOLDERS").bitwiseAND(F.col("P.BIT_A"))) != 0
+    in_b = (F.col("HOLDERS").bitwiseAND(F.col("P.BIT_B"))) != 0
     return (per_pair.filter(in_a != in_b)
             .select(F.col("P.REGION_A").alias("REGION_A"), F.col("P.REGION_B").alias("REGION_B"),
                     key, F.when(in_a, F.col("P.REGION_A")).otherwise(F.col("P.REGION_B")).alias("ONLY_IN")))
