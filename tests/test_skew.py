@@ -67,3 +67,31 @@ def test_hot_travel_id(spark):
     assert visits == plain
     ids = travel.select("TRAVEL_ID").distinct().subtract(mvmn.select("TRAVEL_ID").distinct()).count()
     assert missing == ids
+
+
+def test_activity_totals_with_key_hot_on_both_sides(spark):
+    """One (travel, place) holds most visit rows and most payments: the
+    totals equal the brute-force sum over all (visit, payment) pairs, and
+    the join sees at most one payment row per activity name for that key."""
+    visits = ([("1", 7, "서울 중구", "서울", "중구")] * 40 + [("1", 7, "부산 남구", "부산", "남구")] * 10
+              + [("2", 8, "서울 중구", "서울", "중구")])
+    pays = ([("1", 7, 1, 100.0)] * 60 + [("1", 7, 1, None)] * 5 + [("1", 7, 2, 7.0)] * 30
+            + [("2", 8, 2, 3.0), ("2", 9, 1, 1.0)])
+    visit_p = spark.createDataFrame(
+        visits, "TRAVEL_ID string, VISIT_AREA_ID bigint, SIDO_SGG string, SIDO string, SGG string")
+    activity = spark.createDataFrame(
+        pays, "TRAVEL_ID string, VISIT_AREA_ID bigint, ACTIVITY_TYPE_CD bigint, PAYMENT_AMT_WON double")
+    codes = spark.createDataFrame([("ACT", "1", "walk"), ("ACT", "2", "meal"), ("JOB", "1", "x")],
+                                  "CD_A string, CD_B string, CD_NM string")
+    got = {(r.REGION, r.ACTIVITY_TYPE): (r.ACTIVITY_COUNT, r.TOTAL_CONSUMPTION, r.TOTAL_PAYMENT_COUNT)
+           for r in M.activity_by_region(visit_p, activity, codes).collect()}
+    names = {1: "walk", 2: "meal"}
+    want = {}
+    for tv, pv, region, _, _ in visits:
+        for ta, pa, code, amt in pays:
+            if (tv, pv) == (ta, pa):
+                n, s, k = want.get((region, names[code]), (0, None, 0))
+                s = s if amt is None else (amt if s is None else s + amt)
+                want[(region, names[code])] = (n + 1, s, k + (amt is not None))
+    assert got == want
+    assert sum(v[0] for v in want.values()) > len(visits) + len(pays)   # pairs, not rows

@@ -65,19 +65,30 @@ def mvmn_price(mvmn: DataFrame, travel: DataFrame) -> DataFrame:
 
 def activity_by_region(visit_p: DataFrame, activity: DataFrame, codes: DataFrame) -> DataFrame:
     """One aggregation feeding both activity marts: row count, amount sum
-    and non-null amount count per (region, activity type)."""
+    and non-null amount count per (region, activity type) over the
+    (visit, activity) pairs that share travel and place.
+
+    Payments are first reduced to one row per (travel, place, activity
+    name) with their count, sum and non-null count; map-side partial
+    aggregation collapses a hot key before any shuffle.  Each visit row
+    then meets at most one row per activity name, so a key that is hot on
+    both sides never multiplies into |visits| x |payments| pairs; the pair
+    totals are recovered as sums of (visit rows x payment totals)."""
     acts = _numeric_codes(codes, CODE_ACTIVITY)
-    typed = (activity.select("TRAVEL_ID", "VISIT_AREA_ID", "ACTIVITY_TYPE_CD", "PAYMENT_AMT_WON")
-             .join(acts, F.col("ACTIVITY_TYPE_CD").cast("double") == F.col("CODE_KEY"))
-             .drop("CODE_KEY", "ACTIVITY_TYPE_CD"))
+    paid = (activity.select("TRAVEL_ID", "VISIT_AREA_ID", "ACTIVITY_TYPE_CD", "PAYMENT_AMT_WON")
+            .join(acts, F.col("ACTIVITY_TYPE_CD").cast("double") == F.col("CODE_KEY"))
+            .groupBy("TRAVEL_ID", "VISIT_AREA_ID", "CD_NM")
+            .agg(F.count(F.lit(1)).alias("N_ROWS"),
+                 F.sum("PAYMENT_AMT_WON").alias("AMT_SUM"),
+                 F.count("PAYMENT_AMT_WON").alias("N_PAID")))
     places = (visit_p.filter(F.col("SIDO").isNotNull())
               .select("TRAVEL_ID", "VISIT_AREA_ID", "SIDO_SGG", "SIDO", "SGG"))
-    return (places.join(typed, ["VISIT_AREA_ID", "TRAVEL_ID"])
+    return (places.join(paid, ["VISIT_AREA_ID", "TRAVEL_ID"])
             .groupBy(F.col("SIDO_SGG").alias("REGION"), "SIDO", "SGG",
                      F.col("CD_NM").alias("ACTIVITY_TYPE"))
-            .agg(F.count(F.lit(1)).alias("ACTIVITY_COUNT"),
-                 F.sum("PAYMENT_AMT_WON").alias("TOTAL_CONSUMPTION"),
-                 F.count("PAYMENT_AMT_WON").alias("TOTAL_PAYMENT_COUNT")))
+            .agg(F.sum("N_ROWS").alias("ACTIVITY_COUNT"),
+                 F.sum("AMT_SUM").alias("TOTAL_CONSUMPTION"),
+                 F.sum("N_PAID").alias("TOTAL_PAYMENT_COUNT")))
 
 
 def activity_distribution(by_region: DataFrame) -> DataFrame:
