@@ -39,11 +39,16 @@ def _numeric_codes(codes: DataFrame, domain: str) -> DataFrame:
 
 
 def job_distribution(traveller: DataFrame, travel: DataFrame, codes: DataFrame) -> DataFrame:
+    """Distinct travels per job name.  Traveller rows are reduced to
+    distinct (traveller, job name) before meeting travel, so a traveller
+    repeated in the master table cannot multiply its travels (the distinct
+    count is unchanged by that reduction)."""
     jobs = _numeric_codes(codes, CODE_JOB)
     named = (traveller.filter(F.col("JOB_NM").isNotNull())
              .select("TRAVELER_ID", "JOB_NM")
              .join(jobs, F.col("JOB_NM") == F.col("CODE_KEY"))
-             .select("TRAVELER_ID", "CD_NM"))
+             .select("TRAVELER_ID", "CD_NM")
+             .distinct())
     trips = travel.select("TRAVELER_ID", "TRAVEL_ID")
     return (named.join(trips, "TRAVELER_ID")
             .groupBy(F.col("CD_NM").alias("JOB_NAME"))
