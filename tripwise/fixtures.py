@@ -282,10 +282,25 @@ def fixture_exprs(name: str, dialect: str) -> list[str]:
     return [f"{_render(e, dialect)} AS {c}" for c, e in fx.columns]
 
 
+# One scan DataFrame per (session, source file): the driver tables are
+# read-only, so their listing and footer schema are read once per session and
+# every query builds on the same lazy scan (holding the DataFrame also keeps
+# its session alive, so the id in the key cannot be reused).
+_SOURCES: dict[tuple[int, str], DataFrame] = {}
+
+
+def source(spark: SparkSession, path: str) -> DataFrame:
+    key = (id(spark), path)
+    df = _SOURCES.get(key)
+    if df is None:
+        df = _SOURCES[key] = spark.read.parquet(path)
+    return df
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Build one fixture table as a lazy DataFrame over the driver parquet."""
     fx = FIXTURES[name]
-    src = spark.read.parquet(f"{sf_dir}/{fx.source}.parquet")
+    src = source(spark, f"{sf_dir}/{fx.source}.parquet")
     if fx.where:
         src = src.where(fx.where)
     out = src.selectExpr(*fixture_exprs(name, "spark"))

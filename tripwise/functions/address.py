@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,9 +9,17 @@ from ..schemas import (SEJONG_SGG, SEJONG_SIDO, VALID_SGG_SUFFIXES, VALID_SIDO,
                        alias_pairs)
 
 
+def _sql_text(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+# The alias table as one SQL map literal: built in a single call instead of
+# one call per key and value, and folded into the plan as a constant.
+_ALIAS_MAP_SQL = "map(" + ", ".join(f"{_sql_text(a)}, {_sql_text(c)}" for a, c in alias_pairs()) + ")"
+
+
 def _alias_map() -> Column:
-    # A literal map is folded into the plan once; lookup is a hash probe per row.
-    return F.create_map(*chain.from_iterable((F.lit(a), F.lit(c)) for a, c in alias_pairs()))
+    return F.expr(_ALIAS_MAP_SQL)
 
 
 def first_token(addr: Column) -> Column:
