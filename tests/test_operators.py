@@ -129,3 +129,21 @@ def test_region_key_symdiff_against_set_logic(spark):
     want = list((a, b, k, a if a in s else b) for k, s in held.items()
                   for a, b in combinations(REGIONS, 2) if (a in s) != (b in s))
     assert got == sorted(want, key=order)
+
+
+def test_bounded_broadcast_checks_rows_and_bytes(spark):
+    from tripwise.operators.joins import bounded_broadcast, size_probe
+
+    big = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    small = spark.range(10).select(F.col("id").alias("k"), F.lit("abc").alias("name"))
+    wide = spark.range(10).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1000).alias("name"))
+
+    def strategy(side, **bounds):
+        plan = big.join(bounded_broadcast(side, **bounds), "k")._jdf.queryExecution().executedPlan()
+        return "BroadcastHashJoin" if "BroadcastHashJoin" in plan.toString() else "shuffle"
+
+    assert size_probe(small, 100) == (10, 10 * (8 + 3))
+    assert strategy(small) == "BroadcastHashJoin"
+    assert strategy(small, max_rows=5) == "shuffle"              # row bound
+    assert strategy(wide, max_bytes=4096) == "shuffle"           # byte bound
+    assert strategy(wide, max_bytes=1 << 20) == "BroadcastHashJoin"
