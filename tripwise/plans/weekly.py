@@ -5,11 +5,14 @@ Intermediates used by more than one mart are computed once and written as
 tables under the shared scratch root (this also cuts their lineage, so a
 lost executor re-reads the table instead of recomputing the joins):
 the region visit dataset (D4 -> D4 copy, D5) and the activity aggregate
-(D7, D8).  Each mart is then one job writing its own folder.
+(D7, D8).  Each mart is then one job writing its own folder; the jobs
+are submitted together.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from . import marts as M
@@ -22,7 +25,7 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
 
 
 def refresh_analysis(spark: SparkSession, t: dict[str, DataFrame], out_root: str,
-                     scratch_root: str) -> dict[str, str]:
+                     scratch_root: str, max_parallel_writes: int = 4) -> dict[str, str]:
     """``t`` holds travel, traveller_master, mvmn_consume, activity_consume,
     lodge_consume (raw), processed_visit, processed_lodge, codes."""
     rv = materialize(region_visit(t["travel"], t["processed_visit"]), f"{scratch_root}/region_visit")
@@ -45,8 +48,14 @@ def refresh_analysis(spark: SparkSession, t: dict[str, DataFrame], out_root: str
         "region_visitarea_analysis": M.satisfaction(t["processed_visit"]),
         "region_spatial_analysis": spatial,
     }
-    paths = {}
-    for name, df in marts.items():
-        paths[name] = f"{out_root}/{name}"
-        df.write.mode("overwrite").parquet(paths[name])
+    paths = {name: f"{out_root}/{name}" for name in marts}
+    # The marts are independent jobs: submitted together, the scheduler packs
+    # the small ones into the slots the large ones leave free instead of the
+    # cluster idling through each job's last stages.  Any failed write
+    # raises here.
+    with ThreadPoolExecutor(max_workers=min(max_parallel_writes, len(marts))) as pool:
+        done = [pool.submit(df.write.mode("overwrite").parquet, paths[name])
+                for name, df in marts.items()]
+        for f in done:
+            f.result()
     return paths
