@@ -95,3 +95,21 @@ def test_activity_totals_with_key_hot_on_both_sides(spark):
                 want[(region, names[code])] = (n + 1, s, k + (amt is not None))
     assert got == want
     assert sum(v[0] for v in want.values()) > len(visits) + len(pays)   # pairs, not rows
+
+
+def test_job_frequency_with_repeated_and_hot_traveller(spark):
+    """A traveller listed many times in the master table and owning most
+    travels: the distinct travel count per job equals a brute-force count."""
+    master = [("t1", 1.0)] * 30 + [("t1", 2.0)] * 3 + [("t2", 1.0), ("t3", None), ("t4", 7.0)]
+    travels = [("t1", f"v{i}") for i in range(200)] + [("t1", "v0")] * 20 + [("t2", "w1"), ("t4", "z1")]
+    traveller = spark.createDataFrame(master, "TRAVELER_ID string, JOB_NM double")
+    travel = spark.createDataFrame(travels, "TRAVELER_ID string, TRAVEL_ID string")
+    codes = spark.createDataFrame([("JOB", "1", "farmer"), ("JOB", "2", "clerk"), ("JOB", "x", "bad"),
+                                   ("ACT", "7", "walk")], "CD_A string, CD_B string, CD_NM string")
+    got = {r.JOB_NAME: r.TRAVEL_FREQUENCY for r in M.job_distribution(traveller, travel, codes).collect()}
+    names = {1.0: "farmer", 2.0: "clerk"}
+    want = {}
+    for who, job in master:
+        if job in names:
+            want.setdefault(names[job], set()).update(t for w, t in travels if w == who)
+    assert got == {k: len(v) for k, v in want.items()}
