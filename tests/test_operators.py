@@ -147,3 +147,17 @@ def test_bounded_broadcast_checks_rows_and_bytes(spark):
     assert strategy(small, max_rows=5) == "shuffle"              # row bound
     assert strategy(wide, max_bytes=4096) == "shuffle"           # byte bound
     assert strategy(wide, max_bytes=1 << 20) == "BroadcastHashJoin"
+
+
+def test_cluster_conf_bounds_reducers_by_shuffle_and_cores():
+    from tripwise.session import cluster_conf
+
+    def reducers(shuffle_bytes, cores):
+        return int(cluster_conf(shuffle_bytes, cores)["spark.sql.shuffle.partitions"])
+
+    assert reducers(1 << 20, 100) == 200                      # small: two waves of cores
+    assert reducers(1000 * (256 << 20), 100) == 400           # large: capped at four waves
+    assert reducers(300 * (256 << 20), 100) == 300            # between: one per target size
+    conf = cluster_conf(25 << 40, 8000)
+    assert conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+    assert int(conf["spark.sql.shuffle.partitions"]) == 32000

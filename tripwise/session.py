@@ -31,17 +31,29 @@ DEFAULT_CONF = {
 }
 
 
-def cluster_conf(input_bytes: int, total_cores: int,
-                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Sizing for a cluster run: scan splits and the initial shuffle
-    partition count follow the input size (about one target-sized partition
-    per split, never fewer than two waves of cores); AQE then coalesces
-    small shuffle partitions to the advisory size and splits skewed ones."""
-    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+def cluster_conf(largest_shuffle_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 << 20, split_bytes: int = 512 << 20,
+                 max_waves: int = 4) -> dict[str, str]:
+    """Sizing for a cluster run.
+
+    Every map task writes one block per reducer, so map tasks x reducers
+    decides both the shuffle bookkeeping and the block size: sizing reducers
+    by the *input* (100 TB in 256 MB pieces is ~400k reducers against ~400k
+    map tasks, ~10^11 blocks of a few hundred bytes) would drown the job in
+    tiny fetches.  So the reducer count follows the largest *shuffle* (after
+    projection and map-side combine) at the target size, bounded below by
+    two and above by ``max_waves`` waves of cores; scan splits are larger
+    than the target to cut the number of map tasks.  AQE then coalesces
+    small shuffle partitions to the advisory size (not to the core count,
+    so a shared cluster is not flooded with tiny tasks; contiguous reducer
+    ranges are fetched in batches) and splits skewed ones."""
+    need = -(-largest_shuffle_bytes // target_partition_bytes)
+    parts = min(max(2 * total_cores, need), max_waves * total_cores)
     return {
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
     }
