@@ -65,3 +65,9 @@ def test_region_visit_dedups_before_the_existence_join(spark, sf_dir):
     assert "LeftSemi" in plan, plan
     join = plan.index("LeftSemi")
     assert plan.count("HashAggregate", join) >= 4, plan   # triples and travel ids, partial + final
+
+
+def test_bucketed_layout_joins_without_shuffling_either_side(spark, sf_dir):
+    plan = _plan(spark, sf_dir, "bucketed_region_visit")
+    join = plan.index("LeftSemi")
+    assert "Exchange" not in plan[join:], plan

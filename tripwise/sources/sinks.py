@@ -132,8 +132,11 @@ def write_bucketed(df: DataFrame, database: str, name: str, path: str, key: str,
     """Catalog table hash-bucketed (and sorted) on ``key``.  Tables joined
     on the same key with the same bucket count are read already
     co-partitioned, so the weekly marts that join them skip the shuffle of
-    both sides.  Each write task emits at most one file per bucket."""
+    both sides.  Rows are rebalanced on the bucket hash (the same placement
+    as the bucket id), so each write task holds whole buckets, except that
+    adaptive execution splits an oversized (hot) bucket over several tasks,
+    each writing its own file of that bucket."""
     full = f"`{database}`.`{name}`"
-    (df.repartition(buckets, key).write.mode("overwrite").format("parquet")
+    (df.hint("rebalance", buckets, key).write.mode("overwrite").format("parquet")
      .option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(full))
     return df.sparkSession.table(full)
