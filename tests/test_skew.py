@@ -113,3 +113,40 @@ def test_job_frequency_with_repeated_and_hot_traveller(spark):
         if job in names:
             want.setdefault(names[job], set()).update(t for w, t in travels if w == who)
     assert got == {k: len(v) for k, v in want.items()}
+
+
+def test_hot_week_is_written_as_several_files(spark, sf_dir):
+    """Most rows fall into one week: the weekly sink splits that week over
+    several write tasks (files), keeps each small week in one file instead
+    of one file per input task, and keeps every row once."""
+    import glob
+    import os
+
+    from tripwise.session import local_path, scratch_path
+    from tripwise.sources import sinks as SK
+
+    lines = fx.load(spark, sf_dir, "visit_area_info").repartition(8)
+    small = F.concat(F.lit("1998-0"), (F.col("VISIT_AREA_ID") % 5 + 1).cast("string"), F.lit("-01"))
+    weekly = lines.withColumn("week", F.when(F.hash(*lines.columns) % 4 != 0, F.lit("1998-06-07"))
+                              .otherwise(small))
+    root = scratch_path(spark, "t-hot-week")
+    old = _with_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+                             "spark.sql.adaptive.coalescePartitions.enabled": "true"})
+    try:
+        path = SK.write_weekly(weekly, root, "visit_area_info")
+    finally:
+        _restore(spark, old)
+
+    def files(week):
+        return glob.glob(os.path.join(local_path(path), f"week={week}", "*.parquet"))
+
+    assert len(files("1998-06-07")) > 1
+    # a plain partitioned write gives every week one file per input task (8 here);
+    # clustered by week, small weeks stay whole (one may share the hot week's
+    # hash partition and be split along with it)
+    small_files = [len(files(f"1998-0{i}-01")) for i in range(1, 6)]
+    assert sum(n == 1 for n in small_files) >= 3, small_files
+    assert len(files("1998-06-07")) + sum(small_files) < 8 * 6 // 2, small_files
+    back = spark.read.parquet(path)
+    assert back.count() == weekly.count()
+    assert back.filter(F.col("week") == "1998-06-07").count() == weekly.filter(F.col("week") == "1998-06-07").count()
