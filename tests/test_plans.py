@@ -71,3 +71,9 @@ def test_bucketed_layout_joins_without_shuffling_either_side(spark, sf_dir):
     plan = _plan(spark, sf_dir, "bucketed_region_visit")
     join = plan.index("LeftSemi")
     assert "Exchange" not in plan[join:], plan
+
+
+@pytest.mark.parametrize("name", ["profile_nulls", "profile_date_range", "profile_value_types"])
+def test_profiles_read_their_table_once(spark, sf_dir, name):
+    plan = _plan(spark, sf_dir, name)
+    assert len(re.findall(r"FileScan parquet|Scan parquet", plan)) == 1, plan
