@@ -7,13 +7,9 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from bench import HEADLINE
 
 QUERIES = entry.queries()
-HEADLINE = ["processed_visit", "processed_lodge", "mart_travel_stats", "mart_gender_age",
-            "mart_job_distribution", "mart_region_visit", "mart_visit_map", "mart_mvmn_price",
-            "mart_activity_distribution", "mart_activity_consumption", "mart_consume_by_area",
-            "mart_lodging_cost", "mart_weekly_spending", "mart_visit_count", "mart_satisfaction",
-            "mart_spatial", "region_key_symdiff", "profile_nulls", "week_calendar"]
 
 
 def _plan(spark, sf_dir, name) -> str:
