@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def lenient_date(c: Column) -> Column:
@@ -11,6 +12,15 @@ def lenient_date(c: Column) -> Column:
     return F.try_to_date(c.cast("string"))
 
 
+def as_date(df: DataFrame, col: str) -> Column:
+    """Column ``col`` of ``df`` as a DATE: used as it is when already a date,
+    otherwise parsed leniently (no per-row format-and-parse round trip for
+    typed columns)."""
+    if isinstance(df.schema[col].dataType, T.DateType):
+        return F.col(col)
+    return lenient_date(F.col(col))
+
+
 def lenient_timestamp(c: Column) -> Column:
     """Text -> TIMESTAMP_NTZ, unparsable -> NULL."""
     return F.try_to_timestamp(c.cast("string")).cast("timestamp_ntz")

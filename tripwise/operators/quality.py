@@ -6,10 +6,9 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.coerce import human_size, to_double, value_kind
-from ..functions.dates import lenient_date
+from ..functions.dates import as_date
 from ..schemas import REGIONS
 
 
@@ -27,7 +26,7 @@ def profile_date_range(df: DataFrame, table: str) -> DataFrame:
     cols = [c for c in df.columns if "YMD" in c]
     aggs = []
     for c in cols:
-        d = F.col(c) if isinstance(df.schema[c].dataType, T.DateType) else lenient_date(F.col(c))
+        d = as_date(df, c)
         aggs += [F.min(d).alias(f"{c}__min"), F.max(d).alias(f"{c}__max")]
     wide = df.agg(*aggs)
     rows = [F.struct(F.lit(c).alias("COLUMN_NAME"), F.col(f"{c}__min").alias("MIN_DATE"),

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.dates import lenient_date, slice_week_start
+from ..functions.dates import as_date, slice_week_start
 
 UNSLICED_PREFIX = "tn_traveller_master"
 
@@ -20,11 +19,6 @@ def slice_column(df: DataFrame, first: bool = True) -> str | None:
     return cands[0] if first else cands[-1]
 
 
-def _as_date(df: DataFrame, col: str):
-    dt = df.schema[col].dataType
-    return F.col(col) if isinstance(dt, T.DateType) else lenient_date(F.col(col))
-
-
 def week_slice(df: DataFrame, table: str, start: str, end: str, first: bool = True) -> DataFrame:
     """Rows whose slice date lies in [start, end] (inclusive); unparsable
     dates fall out.  Traveller master and tables without a date column are
@@ -34,12 +28,12 @@ def week_slice(df: DataFrame, table: str, start: str, end: str, first: bool = Tr
     col = slice_column(df, first)
     if col is None:
         return df
-    d = _as_date(df, col)
+    d = as_date(df, col)
     return df.filter(d.between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
 
 
 def gps_week_slice(df: DataFrame, start: str, end: str, col: str = "DT_YMD") -> DataFrame:
-    return df.filter(_as_date(df, col).between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
+    return df.filter(as_date(df, col).between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
 
 
 def before_date(df: DataFrame, col: str, cutoff: str) -> DataFrame:
@@ -54,5 +48,5 @@ def with_week(df: DataFrame, base_date: str, first: bool = True, col: str | None
     col = col or slice_column(df, first)
     if col is None:
         return df.withColumn("week", F.lit(None).cast("string"))
-    wk = slice_week_start(_as_date(df, col), base_date)
+    wk = slice_week_start(as_date(df, col), base_date)
     return df.withColumn("week", F.date_format(wk, "yyyy-MM-dd"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import activity_label, iso_code, numeric_code
-from ..functions.dates import iso_week_start, lenient_date, month_start
+from ..functions.dates import as_date, iso_week_start, lenient_date, month_start
 from ..operators.joins import bounded_broadcast
 from ..schemas import CODE_ACTIVITY, CODE_JOB, CODE_LODGING
 from .processed import code_lookup, region_visit
@@ -133,7 +133,7 @@ def lodging_cost(lodge_p: DataFrame, codes: DataFrame) -> DataFrame:
 
 def _weekly_total(df: DataFrame, category: str) -> DataFrame:
     return (df.filter(F.col("PAYMENT_DT_YMD").isNotNull())
-            .groupBy(iso_week_start(lenient_date(F.col("PAYMENT_DT_YMD"))).alias("WEEK_START_DATE"))
+            .groupBy(iso_week_start(as_date(df, "PAYMENT_DT_YMD")).alias("WEEK_START_DATE"))
             .agg(F.sum(F.col("PAYMENT_AMT_WON").cast("double")).alias("TOTAL_SPENDING"))
             .select("WEEK_START_DATE", F.lit(category).alias("CATEGORY"), "TOTAL_SPENDING"))
 
