@@ -26,6 +26,14 @@ def lenient_timestamp(c: Column) -> Column:
     return F.try_to_timestamp(c.cast("string")).cast("timestamp_ntz")
 
 
+def as_timestamp(df: DataFrame, col: str) -> Column:
+    """Column ``col`` of ``df`` as a TIMESTAMP_NTZ: cast directly when it
+    already holds timestamps, otherwise parsed leniently from text."""
+    if isinstance(df.schema[col].dataType, (T.TimestampType, T.TimestampNTZType)):
+        return F.col(f"`{col}`").cast("timestamp_ntz")
+    return lenient_timestamp(F.col(f"`{col}`"))
+
+
 def month_start(d: Column) -> Column:
     return F.trunc(d, "MM")
 
