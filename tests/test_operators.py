@@ -161,3 +161,21 @@ def test_cluster_conf_bounds_reducers_by_shuffle_and_cores():
     conf = cluster_conf(25 << 40, 8000)
     assert conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
     assert int(conf["spark.sql.shuffle.partitions"]) == 32000
+
+
+def test_file_name_filter_prunes_files_before_reading(spark):
+    """A file excluded by its name (relative to the scan root) is never
+    opened: a corrupt file there does not fail the read."""
+    import os
+
+    from tripwise.session import local_path, scratch_path
+    from tripwise.sources.scan import relative_path
+
+    root = scratch_path(spark, "t-prune")
+    spark.range(100).write.parquet(f"{root}/keep")
+    os.makedirs(local_path(f"{root}/poi_master"))
+    with open(local_path(f"{root}/poi_master/part-00000-bad.parquet"), "wb") as fh:
+        fh.write(b"not parquet" * 64)
+    df = spark.read.schema("id bigint").option("recursiveFileLookup", "true").parquet(root)
+    name = relative_path(F.url_decode(F.col("_metadata.file_path")), root)
+    assert df.filter(~name.contains("poi")).count() == 100
