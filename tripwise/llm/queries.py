@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import token_files
+from . import packing, token_files
 from .common import table
 
 QUERIES: dict = {}
@@ -27,3 +27,9 @@ def query(fn):
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Re-Pair token files of all documents, read back."""
     return token_files.token_files(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
