@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_files
+from . import packing, sharding, token_files
 from .common import table
 
 QUERIES: dict = {}
@@ -33,3 +33,9 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of near equal bytes, by virtual slots."""
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), 24)
