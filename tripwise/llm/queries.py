@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, sharding, token_files
+from . import packing, prefix_counts, sharding, token_files
 from .common import table
 
 QUERIES: dict = {}
@@ -39,3 +39,9 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of near equal bytes, by virtual slots."""
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 24)
+
+
+@query
+def op4_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents from their stored prefix counts."""
+    return prefix_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 512)
