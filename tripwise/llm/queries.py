@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, prefix_counts, sharding, token_files
+from . import packing, prefix_counts, quality, sharding, token_files
 from .common import table
 
 QUERIES: dict = {}
@@ -45,3 +45,12 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents from their stored prefix counts."""
     return prefix_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 512)
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements, failure bits and the current policy's verdict."""
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op5_quality_rules"] = quality.oracle()
