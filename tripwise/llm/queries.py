@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, prefix_counts, quality, sharding, token_files
+from . import packing, prefix_counts, quality, sharding, token_files, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -54,3 +54,22 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op5_quality_rules"] = quality.oracle()
+
+
+@query
+def op10_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records in ZIP packages and read back."""
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+ORACLE["op10_warc_packages"] = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload FROM pages),
+digests AS (
+  SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest FROM payloads),
+firsts AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first_id FROM digests)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_id IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id IS DISTINCT FROM page_id THEN first_id END AS refers_to
+FROM firsts"""
