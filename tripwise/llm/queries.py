@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, prefix_counts, quality, sharding, token_files, warc
+from . import mixing, packing, prefix_counts, quality, sharding, token_files, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -73,3 +73,12 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN first_id IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN first_id IS DISTINCT FROM page_id THEN first_id END AS refers_to
 FROM firsts"""
+
+
+@query
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the sources' target weights."""
+    return mixing.assign(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op9_source_mix"] = mixing.ORACLE
