@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .tokens import gather
+from .tokens import Runs
 
 #: Unicode White_Space, which the pre-tokeniser's \s stands for (fixed values).
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -40,7 +40,7 @@ LONG_CONTRACTIONS = ("'re", "'ve", "'ll")
 class PrefixCounter:
     """Prefix counts for a byte-level BPE file of the tokenizers library."""
 
-    def __init__(self, path: str, cache_words: int = 400_000):
+    def __init__(self, path: str, cache_words: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -54,14 +54,13 @@ class PrefixCounter:
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.special_marks = {s[0] for s in special}
         self.limit = cache_words
+        #: Spelling of the characters that plain words are made of.
+        self.letters = {c: self.spell(chr(c)) for c in [32, *range(0xC0, 0x100)]}
+        self.previous: tuple[str, list[int], list[int]] = ("", [0], [-1])
         self.pairs: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
         self.pieces: dict[str, list[int]] = {}
-        self.reset()
-
-    def reset(self) -> None:
-        self.index: dict[str, int] = {}
-        self.starts, self.ends, self.pool = array("q"), array("q"), array("h")
+        self.runs = Runs("h", cache_words)
 
     def spell(self, text: str) -> str:
         """One character for each byte, as the vocabulary spells them."""
@@ -88,8 +87,17 @@ class PrefixCounter:
         if counts is not None:
             return counts
         vocabulary, longest, n = self.vocabulary, self.longest, len(spelt)
-        counts, last = [0] * (n + 1), [-1] * (n + 1)
-        for i in range(1, n + 1):
+        # What the piece solved before has in common with this one stands.
+        before, counts, last = self.previous
+        same = 0
+        for a, b in zip(before, spelt):
+            if a != b:
+                break
+            same += 1
+        counts = counts[:same + 1] + [0] * (n - same)
+        last = last[:same + 1] + [-1] * (n - same)
+        self.previous = (spelt, counts, last)
+        for i in range(same + 1, n + 1):
             for j in range(max(0, i - longest), i):
                 token = vocabulary.get(spelt[j:i])
                 if token is not None and (self.compatible(last[j], token) if j else self.stands_alone(token)):
@@ -134,46 +142,38 @@ class PrefixCounter:
         return out
 
     def chunk(self, text: str) -> int:
-        found = PLAIN.fullmatch(text) if text.isascii() else None
+        found = PLAIN.fullmatch(text)
         if found:
             word, marks = found.groups()
-            counts = self.piece("Ġ" + word[1:] if word[0] == " " else word)
+            counts = by_character(word, self.piece(word.translate(self.letters)))
             if marks:
                 counts = counts + [counts[-1] + c for c in self.piece(marks)]
         else:
             counts = self.chunk_counts(text)
-        self.starts.append(len(self.pool))
-        before = 0
-        for c in counts:
-            self.pool.append(c - before)
-            before = c
-        self.ends.append(len(self.pool))
-        at = self.index[text] = len(self.starts) - 1
-        return at
+        return self.runs.add(text, map(int.__sub__, counts, [0, *counts]))
 
     def changes(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """Change of the count at every character of the texts (null: empty),
         one text after the other, and the offsets of each text."""
-        if len(self.index) > self.limit:
-            self.reset()
-        index, which, sizes = self.index, array("q"), []
+        self.runs.trim()
+        index, which, sizes = self.runs.index, array("q"), [len(text or "") for text in texts]
         for text in texts:
-            which.extend([index[c] if c in index else self.chunk(c) for c in CHUNKS.findall(text or "")])
-            sizes.append(len(text or ""))
-        which = np.frombuffer(which, np.int64) if len(which) else np.zeros(0, np.int64)
-        starts = np.frombuffer(self.starts, np.int64)[which] if len(which) else which
-        lengths = np.frombuffer(self.ends, np.int64)[which] - starts if len(which) else which
-        pool = np.frombuffer(self.pool, np.int16) if len(self.pool) else np.zeros(0, np.int16)
-        return gather(pool, starts, lengths), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+            chunks = CHUNKS.findall(text or "")
+            # In order, so that neighbours share their beginnings.
+            for c in sorted({c for c in chunks if c not in index}):
+                self.chunk(c)
+            which.extend([index[c] for c in chunks])
+        changes, _ = self.runs.concatenated(np.frombuffer(which, np.int64) if len(which) else np.zeros(0, np.int64))
+        return changes, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
 
 
 def by_character(text: str, counts: list[int]) -> list[int]:
     if text.isascii():
         return counts
-    out, at = [], 0
-    for c in text:
-        at += len(c.encode("utf-8", "surrogatepass"))
-        out.append(counts[at - 1])
+    out, at = [], -1
+    for c in map(ord, text):
+        at += 1 if c < 0x80 else 2 if c < 0x800 else 3 if c < 0x10000 else 4
+        out.append(counts[at])
     return out
 
 

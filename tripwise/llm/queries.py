@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, prefix_counts, quality, sharding, token_files, warc
+from . import mixing, packing, prefix_counts, quality, sharding, token_files, toxicity, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -82,3 +82,10 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op9_source_mix"] = mixing.ORACLE
+
+
+@query
+def op8_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores and spans of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.judge(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))

@@ -25,14 +25,68 @@ from .common import worker_cache
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-/:-@\[-`{-~]*)")
 
 
+class Runs:
+    """Number runs by text, for texts that occur again and again.
+
+    Beyond ``limit`` texts, those that have occurred once are forgotten, then
+    the rarest, until half the limit is left: memory stays bounded, and
+    frequent texts stay known.
+    """
+
+    def __init__(self, kind: str, limit: int):
+        self.kind, self.limit = kind, limit
+        self.index: dict[str, int] = {}
+        self.starts, self.ends, self.pool = array("q"), array("q"), array(kind)
+        self.uses = np.zeros(0, np.int64)
+
+    def add(self, text: str, values) -> int:
+        self.starts.append(len(self.pool))
+        self.pool.extend(values)
+        self.ends.append(len(self.pool))
+        at = self.index[text] = len(self.starts) - 1
+        return at
+
+    def concatenated(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The runs of these numbers one after the other, and their lengths."""
+        if not len(which):
+            return np.zeros(0, np.dtype(self.kind)), np.zeros(0, np.int64)
+        uses = np.bincount(which, minlength=len(self.starts))
+        uses[:len(self.uses)] += self.uses
+        self.uses = uses
+        starts = np.frombuffer(self.starts, np.int64)[which]
+        lengths = np.frombuffer(self.ends, np.int64)[which] - starts
+        pool = np.frombuffer(self.pool, np.dtype(self.kind)) if len(self.pool) else np.zeros(0, np.dtype(self.kind))
+        return gather(pool, starts, lengths), lengths
+
+    def trim(self) -> None:
+        if len(self.index) <= self.limit:
+            return
+        uses = np.zeros(len(self.starts), np.int64)
+        uses[:len(self.uses)] = self.uses
+        order = np.argsort(-uses, kind="stable")[:self.limit // 2]
+        kept = np.sort(order[uses[order] > 1])
+        starts, ends = np.frombuffer(self.starts, np.int64)[kept], np.frombuffer(self.ends, np.int64)[kept]
+        lengths = ends - starts
+        pool = np.frombuffer(self.pool, np.dtype(self.kind)) if len(self.pool) else np.zeros(0, np.dtype(self.kind))
+        number = np.full(len(uses), -1)
+        number[kept] = np.arange(len(kept))
+        self.index = {t: k for t, i in self.index.items() if (k := int(number[i])) >= 0}
+        held = gather(pool, starts, lengths)
+        self.starts, self.ends, self.pool = array("q"), array("q"), array(self.kind)
+        self.pool.frombytes(held.tobytes())
+        self.ends.frombytes(np.cumsum(lengths).astype(np.int64).tobytes())
+        self.starts.frombytes((np.cumsum(lengths) - lengths).astype(np.int64).tobytes())
+        # Use counts start anew, so what was frequent once does not stay for ever.
+        self.uses = np.zeros(len(kept), np.int64)
+
+
 class WordEncoder:
     """Encoder for a vocabulary whose tokens never span white space.
 
-    ``cache_words`` bounds the memory: beyond so many distinct chunks the
-    cache starts over.
+    ``cache_words`` bounds the distinct chunks that are remembered.
     """
 
-    def __init__(self, path: str, cache_words: int = 400_000):
+    def __init__(self, path: str, cache_words: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -41,11 +95,7 @@ class WordEncoder:
         self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.limit = cache_words
         self.pieces: dict[str, list[int]] = {}
-        self.reset()
-
-    def reset(self) -> None:
-        self.index: dict[str, int] = {"": 0}
-        self.starts, self.ends, self.pool = array("q", [0]), array("q", [0]), array("I")
+        self.runs = Runs("I", cache_words)
 
     def piece(self, text: str) -> list[int]:
         ids = self.pieces.get(text)
@@ -63,28 +113,19 @@ class WordEncoder:
             ids = (self.piece(letters.lower()) if letters else []) + (self.piece(marks) if marks else [])
         else:
             ids = self.library.encode(word, add_special_tokens=False).ids
-        self.starts.append(len(self.pool))
-        self.pool.extend(ids)
-        self.ends.append(len(self.pool))
-        at = self.index[word] = len(self.starts) - 1
-        return at
+        return self.runs.add(word, ids)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (null: empty) one after the other, and the
         offsets of each text in them."""
-        if len(self.index) > self.limit:
-            self.reset()
+        self.runs.trim()
         words = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
         coded = words.flatten().dictionary_encode()
-        index = self.index
+        index = self.runs.index
         known = np.fromiter((index[w] if w in index else self.chunk(w) for w in coded.dictionary.to_pylist()),
                             np.int64, len(coded.dictionary))
-        starts = np.frombuffer(self.starts, np.int64)[known]
-        lengths = np.frombuffer(self.ends, np.int64)[known] - starts
-        which = coded.indices.to_numpy()
-        ids = gather(np.frombuffer(self.pool, np.uint32) if len(self.pool) else np.zeros(0, np.uint32),
-                     starts[which], lengths[which])
-        before = np.concatenate([[0], np.cumsum(lengths[which])])
+        ids, lengths = self.runs.concatenated(known[coded.indices.to_numpy()])
+        before = np.concatenate([[0], np.cumsum(lengths)])
         offsets = words.offsets.to_numpy()
         return ids, before[offsets - offsets[0]]
 
