@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, prefix_counts, quality, sharding, token_files, toxicity, warc
+from . import mixing, neardup, packing, prefix_counts, quality, sharding, token_files, toxicity, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -89,3 +89,9 @@ def op8_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores and spans of all documents."""
     docs = table(spark, sf_dir, "documents")
     return toxicity.judge(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return neardup.digest(table(spark, sf_dir, "documents"))
