@@ -177,5 +177,5 @@ def test_file_name_filter_prunes_files_before_reading(spark):
     with open(local_path(f"{root}/poi_master/part-00000-bad.parquet"), "wb") as fh:
         fh.write(b"not parquet" * 64)
     df = spark.read.schema("id bigint").option("recursiveFileLookup", "true").parquet(root)
-    name = relative_path(F.url_decode(F.col("_metadata.file_path")), root)
+    name = relative_path(spark, F.col("_metadata.file_path"), root)
     assert df.filter(~name.contains("poi")).count() == 100

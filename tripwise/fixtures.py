@@ -49,7 +49,6 @@ FIXTURE_BASE_DATE = "1998-01-04"     # a Sunday: first weekly slice
 FIXTURE_CUTOFF_DATE = "1998-06-07"   # a Sunday: initial load ends before it
 FIXTURE_WEEK_START = "1998-06-07"
 FIXTURE_WEEK_END = "1998-06-13"
-FIXTURE_TODAY = "1998-06-17"         # a run date inside the following week
 
 
 def _lit(v) -> str:
@@ -307,10 +306,6 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return out.drop(*fx.drop) if fx.drop else out
 
 
-def load_all(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
-    return {n: load(spark, sf_dir, n) for n in (names or FIXTURES)}
-
-
 def duck_cte(name: str) -> str:
     fx = FIXTURES[name]
     body = f"SELECT {', '.join(fixture_exprs(name, 'duckdb'))} FROM {fx.source}"

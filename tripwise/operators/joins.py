@@ -13,9 +13,9 @@ MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 32 << 20
 
 
-# Proven bounds per (session, plan): reference tables are written once and
-# never replaced in place, so one probe per session is enough.
-_PROVEN: dict[tuple[int, int, int, int], bool] = {}
+# Proven bounds per application, plan and set of input files.  A rewritten
+# table has new files, so its size is proven again.
+_PROVEN: dict[tuple, bool] = {}
 
 
 def _value_bytes(field: T.StructField) -> Column:
@@ -45,13 +45,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     """Broadcast-hint ``df`` only after proving it holds at most ``max_rows``
     rows and ``max_bytes`` of values.  The probe reads at most
     ``max_rows + 1`` rows and its outcome is remembered for the same plan
-    in the same session.  Beyond either bound the frame is returned
+    over the same files.  Beyond either bound the frame is returned
     unhinted, so the planner keeps a shuffle join (and AQE may still convert
     it at run time from measured sizes)."""
-    key = (id(df.sparkSession), df.semanticHash(), max_rows, max_bytes)
+    plan = df._jdf.queryExecution().analyzed().canonicalized().toString()
+    key = (df.sparkSession.sparkContext.applicationId, plan, tuple(sorted(df.inputFiles())), max_rows, max_bytes)
     small = _PROVEN.get(key)
     if small is None:
         rows, size = size_probe(df, max_rows)
         small = rows <= max_rows and size <= max_bytes
-        _PROVEN[key] = small
+        if key[2]:  # rows that come from no file have no version to go by
+            _PROVEN[key] = small
     return F.broadcast(df) if small else df

@@ -54,19 +54,18 @@ def _schema_with(table: str, *extra: tuple[str, T.DataType]) -> T.StructType:
 # Scans
 # --------------------------------------------------------------------------
 @register("scan_parquet", with_ctes(
-    "SELECT TRAVEL_ID, TRAVEL_START_YMD FROM travel WHERE TRAVEL_NM = '1-URGENT'", "travel"))
+    "SELECT *, TRAVEL_NM = '1-URGENT' AS IS_URGENT FROM travel", "travel"))
 def q_scan_parquet(spark, sf_dir):
     path = scratch_path(spark, "scan") + "/travel"
     Tables(spark, sf_dir).raw("travel").write.parquet(path)
     df = SC.read_table(spark, path, RAW_SCHEMAS["travel"])
-    return df.filter(F.col("TRAVEL_NM") == "1-URGENT").select("TRAVEL_ID", "TRAVEL_START_YMD")
+    return df.withColumn("IS_URGENT", F.col("TRAVEL_NM") == "1-URGENT")
 
 
-@register("scan_prefix", with_ctes("SELECT * FROM mvmn_consume WHERE PAYMENT_DT_YMD IS NOT NULL",
-                                   "mvmn_consume"))
+@register("scan_prefix", with_ctes("SELECT * FROM mvmn_consume", "mvmn_consume"))
 def q_scan_prefix(spark, sf_dir):
     root = scratch_path(spark, "prefix")
-    mv = Tables(spark, sf_dir).raw("mvmn_consume").filter(F.col("PAYMENT_DT_YMD").isNotNull())
+    mv = Tables(spark, sf_dir).raw("mvmn_consume")
     SK.write_weekly(_weekly(mv, "PAYMENT_DT_YMD"), root, "mvmn_consume")
     df = SC.scan_prefix(spark, f"{root}/mvmn_consume", RAW_SCHEMAS["mvmn_consume"])
     missing = SC.scan_prefix(spark, f"{root}/no_such_prefix", RAW_SCHEMAS["mvmn_consume"])
@@ -222,7 +221,7 @@ def q_weekly_append(spark, sf_dir):
     travel = _weekly(t.raw("travel"), "TRAVEL_END_YMD")
     SK.write_weekly(travel, f"{root}/raw", "travel")
     target = f"{root}/typed/travel"
-    L.write_typed_weeks(S.before_date(travel, "TRAVEL_END_YMD", CUTOFF), target)
+    L.write_typed_weeks(travel.filter(F.col("TRAVEL_END_YMD") < F.to_date(F.lit(CUTOFF))), target)
     L.weekly_append(spark, f"{root}/raw", "travel", WEEK_START, target)
     return L.weekly_append(spark, f"{root}/raw", "travel", WEEK_START, target)   # re-run: no change
 
@@ -314,7 +313,7 @@ def _source_listing(spark, sf_dir, suffix: str):
     for ds, table in SOURCE_FILES:
         t.raw(table).select(F.lit(1).alias("ONE")).write.parquet(f"{root}/{ds}{suffix}")
     df = spark.read.option("recursiveFileLookup", "true").parquet(root)
-    path = F.url_decode(F.col("_metadata.file_path"))
+    path = SC.decoded(F.col("_metadata.file_path"))
     return df.select(F.regexp_extract(path, r"/([^/]+)/part-[^/]*$", 1).alias("SOURCE_NAME"))
 
 
@@ -505,10 +504,10 @@ def q_sido_sgg(spark, sf_dir):
                         A.sido_sgg(A.first_token(a), A.second_token(a)).alias("SIDO_SGG"))
 
 
-@register("sejong_unify", with_ctes("SELECT * FROM annotated_visit WHERE SIDO = '세종'", "annotated_visit"))
+@register("sejong_unify", with_ctes("SELECT * FROM annotated_visit", "annotated_visit"))
 def q_sejong_unify(spark, sf_dir):
-    ann = P.annotate_table(Tables(spark, sf_dir).raw("visit_area_info"), "visit_area_info")
-    return ann.filter(F.col("SIDO") == "세종")
+    """Sejong rows get their one district; all other rows stay untouched."""
+    return P.annotate_table(Tables(spark, sf_dir).raw("visit_area_info"), "visit_area_info")
 
 
 # --------------------------------------------------------------------------
@@ -521,7 +520,8 @@ def q_tag_region(spark, sf_dir):
     for r in REGIONS:   # one source folder per region, as delivered
         gps.filter(F.col("REGION") == r).drop("REGION").write.parquet(f"{root}/{r}/gps")
     df = spark.read.option("recursiveFileLookup", "true").parquet(root)
-    return K.tag_region(df, K.region_from_path(F.col("_metadata.file_path")))
+    below = SC.relative_path(spark, F.col("_metadata.file_path"), root)
+    return K.tag_region(df, K.region_from_path(below))
 
 
 @register("drop_datetime_columns", with_ctes(
@@ -553,20 +553,25 @@ def q_reconcile_counts(spark, sf_dir):
     return Q.reconcile_counts({"train": train, "val": val}, K.union_train_val(train, val))
 
 
-def _region_frames(t: Tables):
-    g = K.drop_datetime_columns(t.raw("gps"))
-    return [g.filter(F.col("REGION") == r) for r in REGIONS]
+_REGION_OF = "CASE VISIT_AREA_ID % 4 " + " ".join(f"WHEN {k} THEN '{r}'" for k, r in enumerate(REGIONS)) + " END"
 
 
 @register("union_regions_dedup", with_ctes(
-    "SELECT DISTINCT TRAVEL_ID, MOBILE_NUM_ID, DT_YMD, REGION FROM gps", "gps"))
+    f"SELECT DISTINCT *, {_REGION_OF} AS REGION FROM visit_area_info", "visit_area_info"))
 def q_union_regions_dedup(spark, sf_dir):
-    return K.union_regions(_region_frames(Tables(spark, sf_dir)), dedup=True)
+    """Region extracts of a table, each delivered twice in part."""
+    visit = K.drop_datetime_columns(Tables(spark, sf_dir).raw("visit_area_info"))
+    frames = []
+    for k, region in enumerate(REGIONS):
+        own = K.tag_region(visit.filter(F.col("VISIT_AREA_ID") % 4 == k), region)
+        frames += [own, own.filter(F.col("VISIT_AREA_ID") % 3 == 0)]
+    return K.union_regions(frames, dedup=True)
 
 
-@register("union_gps", with_ctes("SELECT TRAVEL_ID, MOBILE_NUM_ID, DT_YMD, REGION FROM gps", "gps"))
+@register("union_gps", with_ctes("SELECT * FROM gps", "gps"))
 def q_union_gps(spark, sf_dir):
-    return K.union_regions(_region_frames(Tables(spark, sf_dir)), dedup=False)
+    gps = Tables(spark, sf_dir).raw("gps")
+    return K.union_regions([gps.filter(F.col("REGION") == r) for r in REGIONS], dedup=False)
 
 
 @register("parse_dates_lenient", with_ctes(
@@ -617,22 +622,28 @@ def q_fill_missing(spark, sf_dir):
     return K.fill_missing_text(Tables(spark, sf_dir).raw("gps"), "MOBILE_NUM_ID")
 
 
-def _gps_file_name():
-    return F.concat(F.lit("tn_gps_coord_"), F.col("L"), F.lit("_"), F.col("L"),
-                    F.lpad(F.col("TRAVEL_ID"), 6, "0"), F.lit(".csv"))
+_GPS_LETTERS = {2022: "abcd", 2023: "efgh"}   # one letter per region
+
 
+def _letter_sql(year: int) -> str:
+    return "CASE REGION " + " ".join(f"WHEN '{r}' THEN '{x}'" for r, x in zip(REGIONS, _GPS_LETTERS[year])) + " ELSE 'x' END"
 
-@register("extract_travel_id", with_ctes("""
-    SELECT NAME, NULLIF(regexp_extract(NAME, '(d_d\\d+|c_c\\d+|b_b\\d+|a_a\\d+)', 1), '') AS TRAVEL_KEY
+
+@register("extract_travel_id", with_ctes(" UNION ALL ".join(f"""
+    SELECT NAME, {year} AS SOURCE_YEAR, NULLIF(regexp_extract(NAME, '{K.TRAVEL_ID_PATTERNS[year]}', 1), '') AS TRAVEL_KEY
     FROM (SELECT DISTINCT 'tn_gps_coord_' || L || '_' || L || lpad(TRAVEL_ID, 6, '0') || '.csv' AS NAME
-          FROM (SELECT TRAVEL_ID, CASE REGION WHEN 'capital' THEN 'a' WHEN 'east' THEN 'b'
-                                               WHEN 'west' THEN 'c' ELSE 'x' END AS L FROM gps))""", "gps"))
+          FROM (SELECT TRAVEL_ID, {_letter_sql(year)} AS L FROM gps))""" for year in (2022, 2023)), "gps"))
 def q_extract_travel_id(spark, sf_dir):
+    """File names of both source years, each with its year's id pattern."""
     g = Tables(spark, sf_dir).raw("gps")
-    letter = (F.when(F.col("REGION") == "capital", "a").when(F.col("REGION") == "east", "b")
-              .when(F.col("REGION") == "west", "c").otherwise("x"))
-    names = g.select(F.col("TRAVEL_ID"), letter.alias("L")).select(_gps_file_name().alias("NAME")).distinct()
-    return names.select("NAME", K.extract_travel_id(F.col("NAME"), 2022).alias("TRAVEL_KEY"))
+    out = None
+    for year in (2022, 2023):
+        letter = F.expr(_letter_sql(year))
+        name = F.concat(F.lit("tn_gps_coord_"), letter, F.lit("_"), letter, F.lpad(F.col("TRAVEL_ID"), 6, "0"), F.lit(".csv"))
+        part = (g.select(name.alias("NAME")).distinct().withColumn("SOURCE_YEAR", F.lit(year))
+                .withColumn("TRAVEL_KEY", K.extract_travel_id(F.col("NAME"), year)))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @register("week_key", with_ctes(
@@ -731,13 +742,24 @@ def q_region_key_symdiff(spark, sf_dir):
     return Q.region_key_symdiff(keyed, key="DAY_KEY")
 
 
-@register("source_file_audit")
+@register("source_file_audit", with_ctes("""
+    SELECT 'move' AS TABLE_NAME, COUNT(*) = 0 AS HEADER_ONLY FROM move
+    UNION ALL SELECT 'travel', COUNT(*) = 0 FROM travel
+    UNION ALL SELECT 'lodge_consume', TRUE""", "move", "travel"))
 def q_source_file_audit(spark, sf_dir):
+    """Which tables were delivered as header-only files.  Sizes depend on the
+    writer; that every file of a table is tiny does not."""
     root = scratch_path(spark, "audit")
     t = Tables(spark, sf_dir)
-    SK.write_weekly(_weekly(t.raw("move"), "END_DT_YMD"), root, "move")
-    L.typed_empty(spark, "lodge_consume").write.parquet(f"{root}/lodge_consume")
-    return Q.source_file_audit(SC.list_files(spark, root, "*.parquet"))
+    for name in ("move", "travel"):
+        t.raw(name).write.option("header", "true").csv(f"{root}/{name}")
+    L.typed_empty(spark, "lodge_consume").write.option("header", "true").csv(f"{root}/lodge_consume")
+    files = Q.source_file_audit(SC.list_files(spark, root, "*.csv"))
+    below = SC.relative_path(spark, SC.decoded(F.col(SC.FILE_PATH)), root)
+    tables = spark.createDataFrame([("move",), ("travel",), ("lodge_consume",)], "TABLE_NAME string")
+    found = files.select(F.substring_index(below, "/", 1).alias("TABLE_NAME"), "IS_SMALL")
+    return (tables.join(found, "TABLE_NAME", "left").groupBy("TABLE_NAME")
+            .agg(F.coalesce(F.bool_and("IS_SMALL"), F.lit(True)).alias("HEADER_ONLY")))
 
 
 @register("preview_limit", with_ctes(
@@ -762,7 +784,7 @@ def _land_after_cutoff(t: Tables, table: str, col: str, root: str) -> str:
 def q_stream_inserts(spark, sf_dir):
     root = scratch_path(spark, "inserts")
     raw_dir = _land_after_cutoff(Tables(spark, sf_dir), "lodge_consume", "PAYMENT_DT_YMD", f"{root}/raw")
-    INC.run_available(INC.insert_stream(spark, raw_dir, "lodge_consume"), f"{root}/out", f"{root}/ckpt")
+    INC.load_once(spark, raw_dir, "lodge_consume", f"{root}/out", f"{root}/ckpt")
     return INC.read_loaded(spark, f"{root}/out", RAW_SCHEMAS["lodge_consume"])
 
 
@@ -829,6 +851,29 @@ def q_pipeline_incremental_week(spark, sf_dir):
     return PL.run(spark, "incremental", "visit_area_info", raw, *args, "1998-06-14", "1998-06-20")
 
 
+@register("pipeline_rerun_week", with_ctes(
+    f"SELECT * FROM processed_visit WHERE VISIT_END_YMD <= DATE '{WEEK_END}'", "processed_visit"))
+def q_pipeline_rerun_week(spark, sf_dir):
+    """The same week run twice is in the table once."""
+    root = scratch_path(spark, "pipeline-rerun")
+    raw = Tables(spark, sf_dir).raw("visit_area_info")
+    args = (raw, f"{root}/raw", f"{root}/processed", f"{root}/ckpt", CUTOFF, WEEK_START, WEEK_END)
+    PL.run(spark, "reset", "visit_area_info", *args)
+    return PL.run(spark, "incremental", "visit_area_info", *args)
+
+
+@register("pipeline_initial_after_incremental", with_ctes(
+    "SELECT * FROM processed_visit WHERE VISIT_END_YMD <= DATE '1998-06-20'", "processed_visit"))
+def q_pipeline_initial_after_incremental(spark, sf_dir):
+    """Reseeding keeps the weeks that the raw zone holds."""
+    root = scratch_path(spark, "pipeline-initial")
+    raw = Tables(spark, sf_dir).raw("visit_area_info")
+    args = (f"{root}/raw", f"{root}/processed", f"{root}/ckpt", CUTOFF)
+    PL.run(spark, "reset", "visit_area_info", raw, *args, WEEK_START, WEEK_END)
+    PL.run(spark, "incremental", "visit_area_info", raw, *args, "1998-06-14", "1998-06-20")
+    return PL.run(spark, "initial", "visit_area_info", raw, *args, WEEK_START, WEEK_END)
+
+
 @register("backfill_weeks", with_ctes(
     f"SELECT *, {duck_week('PAYMENT_DT_YMD')} AS week FROM mvmn_consume WHERE PAYMENT_DT_YMD IS NOT NULL",
     "mvmn_consume"))

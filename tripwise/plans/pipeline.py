@@ -2,7 +2,9 @@
 
 ``reset``       drop raw weeks on/after the cut-off, reseed the processed
                 table from raw rows before the cut-off, then the weekly step;
-``initial``     seed the processed table, then the weekly step;
+``initial``     reseed the processed table, then the weekly step.  Every
+                reseed clears the stream's checkpoint, so all raw weeks on or
+                after the cut-off are loaded again next to the new seed;
 ``incremental`` the weekly step only.
 The weekly step slices one week from the source, writes it into the
 week-partitioned raw zone (replacing that week only) and streams the newly
@@ -31,9 +33,9 @@ def seed(raw: DataFrame, table: str, cutoff: str, processed_dir: str) -> None:
 
 def land_week(source: DataFrame, table: str, week_start: str, week_end: str, raw_root: str) -> str:
     """Slice one week of a source table and write it as that week's raw
-    partition (dynamic overwrite: other weeks untouched)."""
+    partition (other weeks untouched; an empty slice empties the week)."""
     sliced = week_slice(source, table, week_start, week_end).withColumn("week", F.lit(week_start))
-    return write_weekly(sliced, raw_root, table)
+    return write_weekly(sliced, raw_root, table, replace_week=week_start)
 
 
 def run(spark: SparkSession, mode: str, table: str, source: DataFrame, raw_root: str,
@@ -45,8 +47,8 @@ def run(spark: SparkSession, mode: str, table: str, source: DataFrame, raw_root:
     raw_dir = f"{raw_root}/{table}"
     if mode == "reset":
         drop_from_week(spark, raw_dir, cutoff)
-        delete_path(spark, checkpoint_dir)
     if mode in ("reset", "initial"):
+        delete_path(spark, checkpoint_dir)
         seed(source, table, cutoff, processed_dir)
     land_week(source, table, week_start, week_end, raw_root)
     append_week_changes(spark, raw_dir, table, processed_dir, checkpoint_dir, since_week=cutoff)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -90,15 +89,13 @@ def apply_sql_conf(spark: SparkSession) -> None:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint root the cluster names in
-    ``spark.checkpoint.dir``.  Only when the session has none (local tests)
-    a private directory is created and registered."""
+    ``spark.checkpoint.dir``.  Only a local session that has none (tests)
+    gets a private directory; on a cluster that would be a folder of the
+    driver's machine which executors do not see, so it is an error."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        try:
-            root = spark.conf.get("spark.checkpoint.dir")
-        except Exception:
-            root = None
+        root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(root)
@@ -107,12 +104,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if existing:
         # getCheckpointDir() appends a per-application subfolder
         return existing.rstrip("/")
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     root = tempfile.mkdtemp(prefix="tripwise-ckpt-")
     sc.setCheckpointDir(root)
-    try:
-        spark.conf.set("spark.checkpoint.dir", root)
-    except Exception:
-        pass
     return root
 
 
@@ -126,7 +121,3 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def local_path(path: str) -> str:
     """Strip a file: scheme for the few places that need an OS path."""
     return path[len("file:"):] if path.startswith("file:") else path
-
-
-def is_local_fs(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:") or os.path.isabs(path)

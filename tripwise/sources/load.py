@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import RAW_SCHEMAS
+from .sinks import delete_path, list_weeks
 
 
 def typed_empty(spark: SparkSession, table: str) -> DataFrame:
@@ -60,8 +61,9 @@ def read_matching(spark: SparkSession, root: str, pattern: str,
                   schema: T.StructType | None = None) -> DataFrame:
     """Raw files below ``root`` whose full path matches a regex (the
     source system's COPY ... PATTERN).  The predicate is on the file-path
-    metadata column, so non-matching files are pruned at listing time."""
-    reader = spark.read.option("recursiveFileLookup", "true")
+    metadata column, so non-matching files are pruned at listing time.
+    Columns are the union over all files; a column's types must agree."""
+    reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.parquet(root)
@@ -79,6 +81,13 @@ def bulk_load(spark: SparkSession, raw_root: str, table: str, target: str,
     return spark.read.schema(RAW_SCHEMAS[table]).parquet(target)
 
 
+def read_weeks(spark: SparkSession, table_dir: str, weeks: list[str]) -> DataFrame:
+    """The named week partitions of a raw table; only their folders are
+    listed, and columns are the union over their files."""
+    return (spark.read.option("basePath", table_dir).option("mergeSchema", "true")
+            .parquet(*[f"{table_dir}/week={w}" for w in weeks]))
+
+
 def write_typed_weeks(df: DataFrame, target: str) -> None:
     """Typed table stored by load week: a week written again replaces that
     week only (dynamic partition overwrite), so re-running a load is
@@ -94,10 +103,17 @@ def read_typed_weeks(spark: SparkSession, table: str, target: str) -> DataFrame:
 
 def weekly_append(spark: SparkSession, raw_root: str, table: str, week: str, target: str) -> DataFrame:
     """Load one week: only the ``week=<week>`` partition of the raw zone is
-    listed and read (partition pruning), aligned to the typed schema and
-    written as that week of the typed table."""
-    src = spark.read.parquet(f"{raw_root}/{table}").filter(F.col("week") == week).drop("week")
-    write_typed_weeks(load_skip_bad_rows(src, RAW_SCHEMAS[table]).withColumn("week", F.lit(week)), target)
+    listed and read, aligned to the typed schema and written as that week of
+    the typed table.  A week that has no rows (any more) is emptied there."""
+    raw_dir, stale = f"{raw_root}/{table}", f"{target}/week={week}"
+    if week not in list_weeks(spark, raw_dir):
+        delete_path(spark, stale)
+        return read_typed_weeks(spark, table, target)
+    typed = load_skip_bad_rows(read_weeks(spark, raw_dir, [week]).drop("week"), RAW_SCHEMAS[table])
+    if typed.isEmpty():
+        delete_path(spark, stale)
+    else:
+        write_typed_weeks(typed.withColumn("week", F.lit(week)), target)
     return read_typed_weeks(spark, table, target)
 
 

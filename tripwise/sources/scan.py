@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
+
+from .load import align_schema
+from .sinks import file_system, list_folders
 
 FILE_PATH, FILE_NAME, FILE_SIZE = "SOURCE_FILE", "SOURCE_NAME", "SOURCE_SIZE"
 
@@ -19,37 +24,54 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+def decoded(path: Column) -> Column:
+    """A stored name from its URI form.  Only percent escapes are decoded: a
+    plus sign stands for itself in a path."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def with_source(df: DataFrame) -> DataFrame:
-    """Attach the file each row came from (hidden metadata column; the path
-    is URI-encoded, so it is decoded back to the stored name)."""
-    return df.withColumns({FILE_PATH: F.url_decode(F.col("_metadata.file_path")),
-                           FILE_NAME: F.url_decode(F.col("_metadata.file_name"))})
+    """Attach the file each row came from (hidden metadata column, decoded)."""
+    return df.withColumns({FILE_PATH: decoded(F.col("_metadata.file_path")),
+                           FILE_NAME: decoded(F.col("_metadata.file_name"))})
+
+
+def no_data(error: AnalysisException) -> bool:
+    """Whether a scan failed because there is no such path, or no file in it
+    to take a schema from; any other failure is a failure."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def scan_prefix(spark: SparkSession, root: str, schema: T.StructType | None = None,
                 glob: str = "*.parquet") -> DataFrame | None:
     """All files below ``root`` whose name matches ``glob``, read as one
-    table with their source path.  A missing or unreadable prefix gives
-    ``None`` (nothing to load) instead of failing."""
+    table with their source path.  A missing prefix, or one without files,
+    gives ``None`` (nothing to load); anything else that is wrong with it
+    fails."""
     reader = (spark.read.option("recursiveFileLookup", "true")
               .option("pathGlobFilter", glob))
     if schema is not None:
         reader = reader.schema(schema)
     try:
         return with_source(reader.parquet(root))
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if no_data(error):
+            return None
+        raise
 
 
 def scan_tables(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
-    """One DataFrame per table folder under ``root``; tables with no rows and
-    folders that cannot be read are skipped; corrupt files are ignored."""
+    """One DataFrame per table folder under ``root``; folders that are not
+    there and tables without rows are skipped.  A damaged file fails the scan
+    rather than losing its rows unseen."""
     out: dict[str, DataFrame] = {}
     for name in names:
         try:
-            df = spark.read.option("ignoreCorruptFiles", "true").parquet(f"{root}/{name}")
-        except AnalysisException:
-            continue
+            df = spark.read.parquet(f"{root}/{name}")
+        except AnalysisException as error:
+            if no_data(error):
+                continue
+            raise
         if not df.isEmpty():
             out[name] = df
     return out
@@ -57,26 +79,48 @@ def scan_tables(spark: SparkSession, root: str, names: list[str]) -> dict[str, D
 
 def scan_csv(spark: SparkSession, root: str, schema: T.StructType,
              exclude: tuple[str, ...] = ("poi",), skip_suffixes: tuple[str, ...] = (".zip",)) -> DataFrame:
-    """Header CSV files under ``root`` with an explicit schema (no inference
-    pass).  Files whose path contains an excluded word or ends with a
-    skipped suffix are pruned by a filter on the file-name metadata column,
-    which Spark applies while listing, before any byte is read."""
-    df = with_source(spark.read.option("header", "true").option("recursiveFileLookup", "true")
-                     .schema(schema).csv(root))
-    name = relative_path(F.col(FILE_PATH), root)
-    keep = F.lit(True)
-    for word in exclude:
-        keep = keep & ~name.contains(word)
-    for suf in skip_suffixes:
-        keep = keep & ~name.endswith(suf)
-    return df.filter(keep)
-
-
-def relative_path(path, root: str):
-    """Part of a (decoded) file path below ``root``."""
-    root = root.rstrip("/")
-    start = F.instr(path, root) + F.lit(len(root) + 1)
-    return path.substr(start, F.lit(1 << 20))
+    """The CSV datasets (one folder each) under ``root``, by header.
+
+    Each dataset is scanned for itself: its columns are found by the names in
+    its header, whatever their order, and cast to ``schema`` leniently; files
+    of a dataset whose headers differ fail the scan.  Datasets and files whose
+    name contains an excluded word or ends with a skipped suffix are left out
+    while listing, before any byte is read."""
+    def wanted(name: str) -> bool:
+        return not any(w in name for w in exclude) and not name.endswith(tuple(skip_suffixes))
+
+    out = None
+    for folder in filter(wanted, list_folders(spark, root)):
+        names = spark.read.option("header", "true").csv(f"{root}/{folder}").columns
+        text = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        df = with_source(spark.read.option("header", "true").option("enforceSchema", "false")
+                         .schema(text).csv(f"{root}/{folder}"))
+        keep = F.lit(True)
+        for word in exclude:
+            keep = keep & ~F.col(FILE_NAME).contains(word)
+        for suffix in skip_suffixes:
+            keep = keep & ~F.col(FILE_NAME).endswith(suffix)
+        part = align_schema(df.filter(keep), schema, keep_extra=True)
+        part = part.select(*[f.name for f in schema.fields], FILE_PATH, FILE_NAME)
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        source = T.StructType([*schema.fields, T.StructField(FILE_PATH, T.StringType()), T.StructField(FILE_NAME, T.StringType())])
+        return spark.createDataFrame([], source)
+    return out
+
+
+def plain_path(path: Column) -> Column:
+    """A path without scheme and host, however many slashes follow them."""
+    return F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/+", "/")
+
+
+def relative_path(spark: SparkSession, path: Column, root: str) -> Column:
+    """Part of a (decoded) file path below ``root``, which may be relative or
+    spelt with another scheme form."""
+    fs, hpath, _ = file_system(spark, root)
+    base = re.sub("^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/+", "/", str(fs.makeQualified(hpath).toString())).rstrip("/")
+    inside = plain_path(path)
+    return F.when(inside.startswith(base + "/"), F.substring(inside, len(base) + 2, F.char_length(inside)))
 
 
 def is_gps_file(name_col) -> "F.Column":
@@ -89,19 +133,3 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
             .option("pathGlobFilter", glob).load(root)
             .select(F.col("path").alias(FILE_PATH), F.col("length").alias(FILE_SIZE)))
-
-
-def spread_if_unsplit(df: DataFrame, min_bytes: int = 8 << 20) -> DataFrame:
-    """Round-robin a freshly read table over the cluster when it arrives as a
-    single sizeable file (one file holding one Parquet row group cannot be
-    split, so every downstream narrow operator would run in one task).
-    Tables that arrive as many files - every table our own sinks write - are
-    returned untouched, so no shuffle is added at scale.  Decided from the
-    file listing and plan statistics only; no job is run."""
-    files = df.inputFiles()
-    if len(files) != 1:
-        return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size < min_bytes:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -43,13 +43,19 @@ def _balanced(df: DataFrame, *cols: str) -> DataFrame:
     return df.hint("rebalance", *cols) if cols else df.hint("rebalance")
 
 
-def write_weekly(df: DataFrame, root: str, name: str, mode: str = "overwrite") -> str:
+def write_weekly(df: DataFrame, root: str, name: str, mode: str = "overwrite",
+                 replace_week: str | None = None) -> str:
     """Raw sink: dated tables partitioned by ``week``; reference tables
-    routed to the un-dated metadata folder."""
+    routed to the un-dated metadata folder.  Dynamic overwrite leaves a week
+    alone that gets no rows, so the week ``replace_week`` names is removed
+    if ``df`` has none."""
     path = table_path(root, name)
     out = _millis(df)
     if is_metadata_table(name):
         return write_reference(out, root, name, if_exists="overwrite")
+    if replace_week is not None and out.isEmpty():
+        delete_path(df.sparkSession, f"{path}/{WEEK}={replace_week}")
+        return path
     (_balanced(out, WEEK).write.mode(mode).partitionBy(WEEK)
      .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
      .option("partitionOverwriteMode", "dynamic").parquet(path))
@@ -88,31 +94,32 @@ def write_processed(df: DataFrame, root: str, name: str, week: str | None = None
     return path
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath, jvm
 
 
+def list_folders(spark: SparkSession, root: str) -> list[str]:
+    """Names of the folders directly under ``root`` (none: no such root)."""
+    fs, hpath, _ = file_system(spark, root)
+    if not fs.exists(hpath):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(hpath)
+                  if st.isDirectory() and not st.getPath().getName().startswith(("_", ".")))
+
+
 def list_weeks(spark: SparkSession, table_root: str) -> list[str]:
     """Week partition values present under a table folder (a metadata
     listing of directory names only)."""
-    fs, hpath, _ = _fs(spark, table_root)
-    if not fs.exists(hpath):
-        return []
-    weeks = []
-    for st in fs.listStatus(hpath):
-        n = st.getPath().getName()
-        if st.isDirectory() and n.startswith(WEEK + "="):
-            weeks.append(n.split("=", 1)[1])
-    return sorted(weeks)
+    return [n.split("=", 1)[1] for n in list_folders(spark, table_root) if n.startswith(WEEK + "=")]
 
 
 def drop_from_week(spark: SparkSession, table_root: str, start_week: str) -> list[str]:
     """Delete every week partition on or after ``start_week`` (ISO dates);
     other folders (metadata, non-date names) are left alone.  Only
     directory entries are touched; no data is read or rewritten."""
-    fs, hpath, jvm = _fs(spark, table_root)
+    fs, hpath, jvm = file_system(spark, table_root)
     dropped = []
     for w in list_weeks(spark, table_root):
         if len(w) == 10 and w[4] == "-" and w >= start_week:
@@ -123,7 +130,7 @@ def drop_from_week(spark: SparkSession, table_root: str, start_week: str) -> lis
 
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Remove a folder (e.g. a stream checkpoint being reset)."""
-    fs, hpath, _ = _fs(spark, path)
+    fs, hpath, _ = file_system(spark, path)
     return bool(fs.delete(hpath, True)) if fs.exists(hpath) else False
 
 
