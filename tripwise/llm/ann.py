@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from . import common
 
 BITS = 32
-LEVELS = (32, 28, 24, 20, 17, 14, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 0)
+LEVELS = (32, 28, 24, 20, 17, 14, 12, 10, 8, 6, 4, 2, 0)
 INDEX = "shard int, ids binary, vectors binary, codes binary, orders binary"
 
 
