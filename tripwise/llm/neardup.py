@@ -102,10 +102,14 @@ def similar(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> n
     rule the threshold out."""
     out = np.zeros(len(a))
     near = np.flatnonzero(100 * np.minimum(n_a, n_b) >= PERCENT * np.maximum(n_a, n_b))
+    equal = (a[near] == b[near]).sum(1)
+    # The share of equal registers is a rough estimate already: far below
+    # the mark the likelihood need not be looked at.
+    close = equal >= (LIKELY - 0.15) * a.shape[1]
+    near, equal = near[close], equal[close]
     if len(near):
-        x, y = a[near], b[near]
-        more, less = (x > y).sum(1), (x < y).sum(1)
-        out[near] = estimate(more, less, x.shape[1] - more - less, n_a[near].astype(float), n_b[near].astype(float))
+        more = (a[near] > b[near]).sum(1)
+        out[near] = estimate(more, a.shape[1] - more - equal, equal, n_a[near].astype(float), n_b[near].astype(float))
     return out
 
 
@@ -196,16 +200,19 @@ def likely_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long, likeness double")
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold.  Texts are only
-    fetched for classes that are in a pair."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    wanted = ids.join(classes.select("cid", "least.text_hash", F.col("least.doc_id").alias("id")), "cid")
+def texts_of_classes(cids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """cid, text of the classes named (cid, distinct), written once."""
+    wanted = cids.join(classes.select("cid", "least.text_hash", F.col("least.doc_id").alias("id")), "cid")
     met = wanted.join(texts_of(docs).hint("merge"), "text_hash").filter(F.col("id").eqNullSafe(F.col("doc_id")))
-    one = common.written(met.select("cid", "text").dropDuplicates(["cid"]), "neardup-texts")
+    return common.written(met.select("cid", "text").dropDuplicates(["cid"]), "neardup-texts")
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b, and what else they carry) whose full sets reach the
+    threshold."""
+    carried = pairs.schema
 
     def confirm(batches):
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         for batch in batches:
             left, lo, ln, _, _ = sets_of(batch.column("ta"))
             right, ro, rn, _, _ = sets_of(batch.column("tb"))
@@ -217,11 +224,39 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
             twice = (both[1:] == both[:-1]) & (rows[1:] == rows[:-1])
             shared = np.bincount(rows[1:][twice], minlength=len(ln))
             linked = 100 * shared >= PERCENT * (ln + rn - shared)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], schema=schema).filter(pa.array(linked))
+            yield batch.select(carried.names).filter(pa.array(linked))
+
+    side = lambda n: texts.select(F.col("cid").alias(n), F.col("text").alias(f"t{n}"))
+    rows = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
+    return rows.select(*carried.names, "ta", "tb").mapInArrow(confirm, carried)
+
+
+def roots(links: DataFrame) -> DataFrame:
+    """cid, label of every class that has a parent: links (a, b) give each b
+    one smaller a, and pointers are doubled until all are roots."""
+    found = common.written(links.select(F.col("b").alias("cid"), F.col("a").alias("label")), "neardup-roots")
+    while True:
+        up = found.select(F.col("cid").alias("label"), F.col("label").alias("up"))
+        step = common.written(found.join(up, "label", "left").select(
+            "cid", F.coalesce("up", "label").alias("label"), F.col("up").isNotNull().alias("moved")), "neardup-roots")
+        found = step.select("cid", "label")
+        if step.filter("moved").isEmpty():
+            return found
+
 
-    side = lambda n: one.select(F.col("cid").alias(n), F.col("text").alias(f"t{n}"))
-    rows = pairs.select("a", "b").join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
-    return rows.select("a", "b", "ta", "tb").mapInArrow(confirm, "a long, b long")
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after the components x and y of each link have become one."""
+    found = common.written(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))).filter("cid <> label"), "neardup-merged")
+    up = found.select(F.col("cid").alias("label"), F.col("label").alias("up"))
+    moved = labels.join(up, "label", "left").select("cid", F.coalesce("up", "label").alias("label"))
+    return common.written(moved.unionByName(found.select("cid", "label")), "neardup-labels")
+
+
+def with_label(rows: DataFrame, labels: DataFrame, cid: str = "cid", label: str = "label") -> DataFrame:
+    """``rows`` with the component of ``cid``; classes that are not listed
+    are the root of their own."""
+    named = labels.select(F.col("cid").alias(cid), F.col("label").alias("__label"))
+    return rows.join(named.hint("merge"), cid, "left").withColumn(label, F.coalesce("__label", cid)).drop("__label")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -247,49 +282,45 @@ def components(links: DataFrame) -> DataFrame:
         edges = common.written(moved.filter("u > v").distinct(), "neardup-small")
 
 
-def labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
-    """cid, label of all classes."""
-    found = components(links)
-    return common.written(classes.select("cid").join(found, "cid", "left")
-                          .select("cid", F.coalesce("label", "cid").alias("label")), "neardup-labels")
-
-
 def across_components(buckets: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """Likely pairs within a bucket but from different components.
 
     Buckets with a single component are done.  The others are cut into blocks
     of at most BLOCK classes in expectation, and each pair of blocks is one
     row group of bounded size, whose registers are compared as matrices."""
-    marked = buckets.join(labels, "cid")
+    marked = common.written(with_label(buckets, labels), "neardup-marked")
     mixed_keys = (marked.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("n"))
                   .filter("x < y").select("key", F.expr(f"CAST(ceil(n / {BLOCK}) AS INT)").alias("blocks")))
-    rows = (marked.join(mixed_keys, "key").join(classes.select("cid", "n_shingles", "registers").hint("merge"), "cid")
-            .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")))
+    rows = common.written(marked.join(mixed_keys.hint("merge"), "key"), "neardup-mixed")
+    # Buckets of one block share a row group; larger ones have their own.
+    groups = max(1, -(-rows.count() // (8 * BLOCK)))
+    own = F.when(F.col("blocks") == 1, F.pmod("key", F.lit(groups))).otherwise(F.col("key"))
+    rows = (rows.withColumn("cell", own).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+            .join(classes.select("cid", "n_shingles", "registers").hint("merge"), "cid"))
     # A block meets itself and every other block once.
     both = F.expr("transform(sequence(0, blocks - 1), o -> struct(least(block, o) AS p, greatest(block, o) AS q))")
-    cells = rows.select("key", "block", "cid", "label", "n_shingles", "registers", F.explode(both).alias("c"))
 
-    def compare(key, table):
-        cid, label, n = (table.column(c).to_numpy() for c in ("cid", "label", "n_shingles"))
-        block = table.column("block").to_numpy()
+    def compare(group, table):
+        cid, label, n, block, key = (table.column(c).to_numpy() for c in ("cid", "label", "n_shingles", "block", "key"))
         held = np.frombuffer(b"".join(table.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
-        p, q = key[1].as_py(), key[2].as_py()
-        left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
-        out_a, out_b, out_j = [], [], []
-        for i in left.tolist():
-            others = right[right > i] if p == q else right
-            others = others[(label[others] != label[i]) & (100 * np.minimum(n[others], n[i]) >= PERCENT * np.maximum(n[others], n[i]))]
-            if len(others):
-                j = similar(np.broadcast_to(held[i], (len(others), REGISTERS)), held[others], np.full(len(others), n[i]), n[others])
-                near = j >= LIKELY
-                out_a += [cid[i]] * int(near.sum())
-                out_b += cid[others[near]].tolist()
-                out_j += j[near].tolist()
-        a, b = np.array(out_a, np.int64), np.array(out_b, np.int64)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "likeness": np.array(out_j, float)})
-
-    found = cells.select("key", "block", "cid", "label", "n_shingles", "registers", F.col("c.p").alias("p"), F.col("c.q").alias("q"))
-    return (found.groupBy("key", "p", "q").applyInArrow(compare, "a long, b long, likeness double")
+        p, q = group[2].as_py(), group[3].as_py()
+        order = np.argsort(key, kind="stable")
+        out = [np.zeros((0, 3))]
+        for bucket in np.split(order, np.flatnonzero(np.diff(key[order])) + 1):
+            left, right = bucket[block[bucket] == p], bucket[block[bucket] == q]
+            i, j = (x.ravel() for x in np.meshgrid(left, right, indexing="ij"))
+            fit = (label[i] != label[j]) & ((i < j) | (p != q)) & (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j]))
+            out.append(np.stack([i[fit], j[fit]], axis=1))
+        pairs = np.concatenate([x[:, :2] for x in out]).astype(np.int64)
+        found = np.concatenate([np.zeros(0)] + [similar(held[x[:, 0]], held[x[:, 1]], n[x[:, 0]], n[x[:, 1]])
+                                               for x in np.array_split(pairs, max(1, len(pairs) // 8192))])
+        near = pairs[found >= LIKELY]
+        a, b = cid[near[:, 0]], cid[near[:, 1]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "likeness": found[found >= LIKELY]})
+
+    cells = rows.select("key", "cell", "blocks", "block", "cid", "label", "n_shingles", "registers", F.explode(both).alias("c"))
+    found = cells.select("*", F.col("c.p").alias("p"), F.col("c.q").alias("q"), (F.col("blocks") == 1).alias("small")).drop("c", "blocks")
+    return (found.groupBy("cell", "small", "p", "q").applyInArrow(compare, "a long, b long, likeness double")
             .groupBy("a", "b").agg(F.max("likeness").alias("likeness")))
 
 
@@ -310,29 +341,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     likely = common.written(likely_pairs(stars, classes), "neardup-stars")
     best = likely.groupBy("b").agg(F.max_by("a", F.struct("likeness", F.negative("a"))).alias("a"))
     tried = common.written(best.select("a", "b"), "neardup-tried")
-    links = common.written(verified(tried, classes, docs), "neardup-verified")
-    while True:
-        labels = labelled(classes, links)
-        pairs = across_components(buckets, labels, classes).join(tried, ["a", "b"], "left_anti")
-        pairs = common.written(pairs, "neardup-pairs")
-        if pairs.isEmpty():
-            break
-        # Of the pairs between two components the likeliest are tried first;
-        # once they are one component, the others need no look.
-        side = lambda n: labels.select(F.col("cid").alias(n), F.col("label").alias(f"l{n}"))
-        ends = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("x", F.least("la", "lb")).withColumn("y", F.greatest("la", "lb"))
-        top = ends.groupBy("x", "y").agg(F.max("likeness").alias("likeness"), F.count("*").alias("n"))
-        chosen = common.written(ends.join(top.withColumnRenamed("likeness", "most"), ["x", "y"])
-                                .filter((F.col("likeness") >= F.col("most") - 0.02) | (F.col("n") <= 64)).select("a", "b"), "neardup-chosen")
-        links = common.written(links.union(verified(chosen, classes, docs)), "neardup-verified")
-        tried = common.written(tried.union(chosen), "neardup-tried")
+    texts = texts_of_classes(buckets.select("cid").distinct(), classes, docs)
+    labels = roots(verified(tried, texts))
+    # Components only grow together, so the pairs between components that are
+    # left later are among those found now.
+    pairs = between(across_components(buckets, labels, classes).join(tried, ["a", "b"], "left_anti"), labels)
+    while not pairs.isEmpty():
+        # The likeliest pairs of two components are tried first: once they
+        # are one component, the others need no look.  Then all the rest.
+        top = pairs.groupBy("x", "y").agg(F.max("likeness").alias("most"), F.count("*").alias("n"))
+        near = (F.col("likeness") >= F.col("most") - 0.02) | (F.col("n") <= 16) | F.col("again")
+        chosen = common.written(pairs.join(top, ["x", "y"]).withColumn("now", near), "neardup-chosen")
+        links = verified(chosen.filter("now").select("a", "b", "x", "y"), texts)
+        labels = merged(labels, common.written(links.select("x", "y").distinct(), "neardup-verified"))
+        pairs = between(chosen.filter("NOT now").select("a", "b", "likeness"), labels, again=True)
     return named(rows, classes, labels)
 
 
+def between(pairs: DataFrame, labels: DataFrame, again: bool = False) -> DataFrame:
+    """a, b, likeness, again, x, y of the pairs whose ends are in different
+    components x < y."""
+    ends = with_label(with_label(pairs, labels, "a", "la"), labels, "b", "lb").filter("la <> lb")
+    return common.written(ends.select("a", "b", "likeness", F.lit(again).alias("again"),
+                                      F.least("la", "lb").alias("x"), F.greatest("la", "lb").alias("y")), "neardup-pairs")
+
+
 def named(rows: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, and the row's text_hash and
     whether it is of its component's first member (``first``)."""
-    members = classes.join(labels, "cid")
+    members = with_label(classes, labels)
     firsts = members.groupBy("label").agg(F.min("least").alias("head"))
     of_class = members.select("class_hi", "class_lo", "label").join(firsts, "label").drop("label")
     own = rows.drop("registers")
