@@ -274,4 +274,4 @@ def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = 4096) -> Da
     ids_crc32, sequence_id, offset."""
     pieces = common.written(token_pieces(docs, vocabulary, capacity), "pieces")
     places = pack(pieces, capacity)
-    return digests(pieces).join(places, "uid").drop("uid")
+    return digests(pieces).join(places.hint("merge"), "uid").drop("uid")
