@@ -99,6 +99,16 @@ def test_edge_rows(spark):
                             "É x", "é x", ("long text " * 9)[:30]])
 
 
+def test_one_word_repeated(spark):
+    """Sequences of different length with the same single shingle are linked;
+    texts of fewer than five words are one shingle of their own."""
+    rows = [(3, "a " * 5), (1, "a " * 6), (2, "A\n" * 9), (4, "a " * 4), (5, "a a a"), (6, "b " * 7), (7, "b " * 70), (8, "a " * 5 + "b"), (9, "a a a a b")]
+    rows += [(100 + k, "spam " * (5 + k)) for k in range(400)]
+    check(spark, rows)
+    kept = Counter(r.text.split()[0] for r in neardup.keep(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert kept == {"a": 5, "b": 1, "spam": 1}
+
+
 def test_estimate_is_near_the_truth():
     rng = np.random.default_rng(5)
     for share, n_a, n_b in ((0.0, 500, 500), (0.3, 900, 400), (0.75, 700, 650), (0.9, 3000, 3000), (1.0, 50, 50)):

@@ -178,11 +178,13 @@ def classes_of(rows: DataFrame) -> DataFrame:
 
 
 def banded(classes: DataFrame) -> DataFrame:
-    """cid, key: the buckets of every class.  A class of a single shingle can
-    only equal another one, so it is left out."""
+    """cid, key: the buckets of every class.  A set of a single shingle can
+    only equal another one, but classes of different sequences may have it (a
+    word repeated 5, 6, ... times): they meet by all their registers at once."""
     wide = 2 * BAND
     keys = [F.xxhash64(F.lit(k), F.substring("registers", k * wide + 1, wide)) for k in range(REGISTERS // BAND)]
-    return classes.filter("n_shingles > 1").select("cid", F.explode(F.array(*keys)).alias("key"))
+    own = F.when(F.col("n_shingles") > 1, F.array(*keys)).otherwise(F.array(F.xxhash64(F.lit(len(keys)), "registers")))
+    return classes.select("cid", F.explode(own).alias("key"))
 
 
 def likely_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
