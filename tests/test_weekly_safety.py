@@ -116,6 +116,28 @@ def test_csv_columns_go_by_header(spark):
     assert sorted(tuple(r) for r in SC.scan_csv(spark, root, schema).select("ID", "NAME").collect()) == [(2, "y"), (3, "z")]
 
 
+def test_csv_files_at_any_depth_are_read(spark):
+    root = scratch_path(spark, "t-depth")
+    schema = spark.createDataFrame([], "ID int, NAME string, PART string").schema
+    scan = lambda: sorted((r.ID, r.NAME, r.PART) for r in SC.scan_csv(spark, root, schema).collect())
+    assert scan() == []
+    files = {"top [1].csv": "ID,NAME\n1,a\n", "top+2%20.csv": "ID,NAME\n2,b\n", "d/x.csv": "NAME,ID\nc,3\n", "d/below/y.csv": "ID,NAME\n4,d\n",
+             "e/deep/deeper/z.csv": "ID\n5\n", "w/PART=01/p.csv": "ID,NAME\n6,f\n", "w/PART=02/p.csv": "ID,NAME\n7,g\n",
+             "poi.csv": "X\n8\n", "d/my_poi/q.csv": "ID\n9\n", "old.zip": "zip", "_SUCCESS": "", ".hidden/h.csv": "ID\n10\n"}
+    left_out = ("poi.csv", "d/my_poi/q.csv", "old.zip", "_SUCCESS", ".hidden/h.csv")
+    for name in sorted(files, key=lambda n: n not in left_out):
+        path = os.path.join(local_path(root), name)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as f:
+            f.write(files[name])
+        if name == left_out[0]:
+            with pytest.raises(FileNotFoundError):
+                scan()
+    assert scan() == [(1, "a", None), (2, "b", None), (3, "c", None), (4, "d", None), (5, None, None), (6, "f", "01"), (7, "g", "02")]
+    assert {r[0] for r in SC.scan_csv(spark, root, schema).select(SC.FILE_NAME).collect()} == {
+        os.path.basename(n) for n in files if n not in left_out}
+
+
 def test_region_tag_and_names_below_the_root(spark, sf_dir):
     root = scratch_path(spark, "t-region") + "/east/a+b"
     spark.range(3).write.parquet(f"{root}/capital/gps")

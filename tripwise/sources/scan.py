@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .load import align_schema
-from .sinks import file_system, list_folders
+from .sinks import file_system, list_names
 
 FILE_PATH, FILE_NAME, FILE_SIZE = "SOURCE_FILE", "SOURCE_NAME", "SOURCE_SIZE"
 
@@ -79,36 +79,48 @@ def scan_tables(spark: SparkSession, root: str, names: list[str]) -> dict[str, D
 
 def scan_csv(spark: SparkSession, root: str, schema: T.StructType,
              exclude: tuple[str, ...] = ("poi",), skip_suffixes: tuple[str, ...] = (".zip",)) -> DataFrame:
-    """The CSV datasets (one folder each) under ``root``, by header.
+    """The CSV datasets at and below ``root``, by header.
 
-    Each dataset is scanned for itself: its columns are found by the names in
+    All files are listed at any depth; those of one folder (``root`` itself
+    too) are a dataset, with the files of its ``key=value`` folders.  Each
+    dataset is scanned for itself: its columns are found by the names in
     its header, whatever their order, and cast to ``schema`` leniently; files
-    of a dataset whose headers differ fail the scan.  Datasets and files whose
+    of a dataset whose headers differ fail the scan.  Folders and files whose
     name contains an excluded word or ends with a skipped suffix are left out
-    while listing, before any byte is read."""
+    while listing, before any byte is read.  A missing root gives no rows; one
+    that is there but holds no dataset fails."""
     def wanted(name: str) -> bool:
         return not any(w in name for w in exclude) and not name.endswith(tuple(skip_suffixes))
 
+    names_below = list_names(spark, root)
+    if names_below is None:
+        source = T.StructType([*schema.fields, T.StructField(FILE_PATH, T.StringType()), T.StructField(FILE_NAME, T.StringType())])
+        return spark.createDataFrame([], source)
+    datasets: dict[tuple[str, ...], list[str]] = {}
+    for parts in names_below:
+        if all(map(wanted, parts)):
+            folder = parts[:-1]
+            while folder and "=" in folder[-1]:
+                folder = folder[:-1]
+            datasets.setdefault(folder, []).append(literal_path("/".join((root.rstrip("/"), *parts))))
+    if not datasets:
+        raise FileNotFoundError(f"no CSV dataset at or below {root}")
     out = None
-    for folder in filter(wanted, list_folders(spark, root)):
-        names = spark.read.option("header", "true").csv(f"{root}/{folder}").columns
-        text = T.StructType([T.StructField(c, T.StringType()) for c in names])
-        df = with_source(spark.read.option("header", "true").option("enforceSchema", "false")
-                         .schema(text).csv(f"{root}/{folder}"))
-        keep = F.lit(True)
-        for word in exclude:
-            keep = keep & ~F.col(FILE_NAME).contains(word)
-        for suffix in skip_suffixes:
-            keep = keep & ~F.col(FILE_NAME).endswith(suffix)
-        part = align_schema(df.filter(keep), schema, keep_extra=True)
+    for _, files in sorted(datasets.items()):
+        reader = spark.read.option("header", "true").option("basePath", root)
+        text = T.StructType([T.StructField(c, T.StringType()) for c in reader.csv(files).columns])
+        df = with_source(reader.option("enforceSchema", "false").schema(text).csv(files))
+        part = align_schema(df, schema, keep_extra=True)
         part = part.select(*[f.name for f in schema.fields], FILE_PATH, FILE_NAME)
         out = part if out is None else out.unionByName(part)
-    if out is None:
-        source = T.StructType([*schema.fields, T.StructField(FILE_PATH, T.StringType()), T.StructField(FILE_NAME, T.StringType())])
-        return spark.createDataFrame([], source)
     return out
 
 
+def literal_path(path: str) -> str:
+    """``path`` so that none of its characters is read as a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def plain_path(path: Column) -> Column:
     """A path without scheme and host, however many slashes follow them."""
     return F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/+", "/")

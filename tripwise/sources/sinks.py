@@ -109,6 +109,21 @@ def list_folders(spark: SparkSession, root: str) -> list[str]:
                   if st.isDirectory() and not st.getPath().getName().startswith(("_", ".")))
 
 
+def list_names(spark: SparkSession, root: str) -> list[tuple[str, ...]] | None:
+    """Folder and file names below ``root`` of every file at any depth, apart
+    from those hidden as in Spark's own listings (``None``: no such root)."""
+    fs, hpath, _ = file_system(spark, root)
+    if not fs.exists(hpath):
+        return None
+    base = fs.makeQualified(hpath).toUri().getPath().rstrip("/")
+    found, files = [], fs.listFiles(hpath, True)
+    while files.hasNext():
+        parts = tuple(files.next().getPath().toUri().getPath()[len(base):].strip("/").split("/"))
+        if not any(n.startswith(".") or (n.startswith("_") and "=" not in n) for n in parts):
+            found.append(parts)
+    return sorted(found)
+
+
 def list_weeks(spark: SparkSession, table_root: str) -> list[str]:
     """Week partition values present under a table folder (a metadata
     listing of directory names only)."""
