@@ -130,6 +130,20 @@ def test_copies_count_once(spark):
     assert not any(model.odds(w) for w in base)
 
 
+def test_a_shared_passage_makes_no_copies(spark):
+    """Only (near) copies lose weight, not documents with the same boilerplate."""
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 6))
+    passage, base = [word() for _ in range(100)], [word() for _ in range(300)]
+    rows = [(i, " ".join(passage + [word() for _ in range(200)])) for i in range(300)]
+    rows += [(1000 + i, " ".join(base[:k] + ["other"] + base[k:])) for i, k in enumerate(rng.integers(0, 300, 100).tolist())]
+    got = toxicity.weighted(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    own, copies = [r.weight for r in got if r.doc_id < 1000], [r.weight for r in got if r.doc_id >= 1000]
+    assert sum(w == toxicity.UNIT for w in own) >= 0.9 * len(own)
+    assert sum(copies) < 3 * toxicity.UNIT
+
+
 def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(i, "idiot words here") for i in range(9)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ SAMPLE_DOCS = 800
 LEXICON = 50_000
 #: A telling feature is at least so many times likelier in toxic documents (log).
 LEAST_ODDS = 2.0
+#: Copies share so many of so many least shingle hashes.
+ALIKE, LEAST = 6, 8
 #: Weight of a document that has no copies.
 UNIT = 1_000_000
 THRESHOLD = 0.7
@@ -82,16 +85,20 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def weighted(rows: DataFrame) -> DataFrame:
     """``rows`` with ``weight``: UNIT over the size of a document's group of
-    copies.  That size is the largest number of documents that share one of
-    its four least shingle hashes, so near copies are found too."""
+    copies.  That size is the largest number of documents that share the same
+    ALIKE of its LEAST least shingle hashes, so near copies are found too,
+    and documents with a common passage are no copies."""
     numbered = common.written(rows.withColumn("uid", F.monotonically_increasing_id()), "toxic-rows")
 
+    chosen = list(combinations(range(LEAST), ALIKE))
+
     def sketch(batches):
         schema = pa.schema([("uid", pa.int64()), ("key", pa.int64())])
         for batch in batches:
-            least = smallest(*shingle_hashes(*word_hashes(batch.column("text")), 3), odd_numbers(4, 5))
-            keys = mixed(least + np.arange(4, dtype=np.uint64)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("uid").to_numpy(), 4), pa.int64()),
+            least = smallest(*shingle_hashes(*word_hashes(batch.column("text")), 3), odd_numbers(LEAST, 5))
+            least = mixed(least + np.arange(LEAST, dtype=np.uint64))
+            keys = np.stack([mixed(least[:, c].sum(axis=1, dtype=np.uint64) + np.uint64(k)) for k, c in enumerate(chosen)], axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("uid").to_numpy(), len(chosen)), pa.int64()),
                                               pa.array(keys.ravel(), pa.int64())], schema=schema)
 
     keys = numbered.select("uid", "text").mapInArrow(sketch, "uid long, key long")
@@ -257,6 +264,11 @@ def fit_score(inputs: np.ndarray, labels: np.ndarray, counts: np.ndarray, penalt
     return w
 
 
+def linear(inputs: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """``inputs @ weights``, to the last bit the same for a row in any batch."""
+    return (inputs * weights).sum(axis=1)
+
+
 def marginals(model: Model, texts: pa.Array, odds_of=None):
     """(offsets of the texts' tokens, toxic probability of every token)."""
     words, which, offsets = split_words(texts)
@@ -281,7 +293,7 @@ def marginals(model: Model, texts: pa.Array, odds_of=None):
         told = ~of_bare
         inputs = token_inputs(odds, chain_of)[told]
         number = np.cumsum(~bare) - 1
-        scores, own, place = padded(inputs @ model.weights, number[chain_of[told]])
+        scores, own, place = padded(linear(inputs, model.weights), number[chain_of[told]])
         p[told] = forward_backward(scores, own, model.chain, model.start)[0][number[chain_of[told]], place]
     return offsets, p
 
@@ -390,7 +402,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             texts = batch.column(text_at)
             offsets, p = marginals(model, texts, odds_of)
             inputs = score_inputs(offsets, p)
-            scores = 1 / (1 + np.exp(-np.clip(inputs @ model.score, -30, 30)))
+            scores = 1 / (1 + np.exp(-np.clip(linear(inputs, model.score), -30, 30)))
             found = [[] for _ in range(len(texts))]
             for k in np.flatnonzero(inputs[:, 1] >= 0.5).tolist():
                 found[k] = [{"start": a, "end": b} for a, b in spans(texts[k].as_py(), p[offsets[k]:offsets[k + 1]])]
