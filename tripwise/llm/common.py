@@ -3,6 +3,7 @@ caches and file access for the formats Spark has no writer for."""
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import types
 import uuid
@@ -91,3 +92,17 @@ def bounded_batches(spark: SparkSession, rows: int = 2000, size: int = 16 << 20)
     very long texts come in small batches."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int = 2000, size: int = 16 << 20):
+    """Bounded Arrow batches for the jobs run inside; the session's own
+    bounds hold again after it."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    before = [spark.conf.get(n) for n in names]
+    bounded_batches(spark, rows, size)
+    try:
+        yield
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)

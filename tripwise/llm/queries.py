@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, mixing, neardup, packing, prefix_counts, quality, sharding, token_files, toxicity, warc
+from . import ann, mixing, neardup, packing, prefix_counts, quality, sharding, suffix_dedup, token_files, toxicity, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -101,3 +101,9 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every 20th vector, from the prefix forest."""
     return ann.nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
+@query
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of passages that repeat."""
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
