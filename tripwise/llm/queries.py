@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, mixing, neardup, packing, prefix_counts, quality, sharding, suffix_dedup, token_files, toxicity, warc
+from . import ann, collocations, mixing, neardup, packing, prefix_counts, quality, sharding, suffix_dedup, token_files, toxicity, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -107,3 +107,12 @@ def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the bytes of passages that repeat."""
     return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of every language of the documents."""
+    return collocations.best(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_collocations"] = collocations.ORACLE
