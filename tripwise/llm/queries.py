@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, collocations, mixing, neardup, packing, prefix_counts, quality, sharding, suffix_dedup, token_files, toxicity, warc
+from . import ann, collocations, mixing, neardup, packing, prefix_counts, quality, sharding, suffix_dedup, token_files, toxicity, turn_repair, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -109,6 +109,12 @@ def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repairs of all conversations after damage."""
+    return turn_repair.digest(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best phrases of every language of the documents."""
