@@ -54,6 +54,13 @@ def observe_counts(df: DataFrame, name: str, label: str = "rows"):
     return df.observe(obs, F.count(F.lit(1)).alias(label)), obs
 
 
+def observed(observation) -> dict:
+    """The metrics of a finished observation.  A result that adaptive
+    execution finds empty is replaced as a whole, its counter too: then there
+    are no metrics, and the counts are zero."""
+    return observation.get if observation._jo.getRow().length() else {}
+
+
 def cleanse(df: DataFrame, key: str) -> DataFrame | None:
     """One source table through the cleansing step."""
     if key in UNUSED_TABLES:

@@ -24,15 +24,16 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def refresh_analysis(spark: SparkSession, t: dict[str, DataFrame], out_root: str,
-                     scratch_root: str, max_parallel_writes: int = 4) -> dict[str, str]:
-    """``t`` holds travel, traveller_master, mvmn_consume, activity_consume,
-    lodge_consume (raw), processed_visit, processed_lodge, codes."""
+def mart_frames(spark: SparkSession, t: dict[str, DataFrame], scratch_root: str) -> dict[str, DataFrame]:
+    """All fourteen marts by name.  ``t`` holds travel, traveller_master,
+    mvmn_consume, activity_consume, lodge_consume (raw), processed_visit,
+    processed_lodge, codes; shared intermediates are written below
+    ``scratch_root``."""
     rv = materialize(region_visit(t["travel"], t["processed_visit"]), f"{scratch_root}/region_visit")
     act = materialize(M.activity_by_region(t["processed_visit"], t["activity_consume"], t["codes"]),
                        f"{scratch_root}/activity_by_region")
     spatial = M.spatial(t["processed_visit"])
-    marts = {
+    return {
         "cumulative_travel_stats": M.travel_stats(t["travel"]),
         "traveler_gender_age_distribution": M.gender_age(t["traveller_master"]),
         "traveler_job_distribution": M.job_distribution(t["traveller_master"], t["travel"], t["codes"]),
@@ -48,6 +49,12 @@ def refresh_analysis(spark: SparkSession, t: dict[str, DataFrame], out_root: str
         "region_visitarea_analysis": M.satisfaction(t["processed_visit"]),
         "region_spatial_analysis": spatial,
     }
+
+
+def refresh_analysis(spark: SparkSession, t: dict[str, DataFrame], out_root: str,
+                     scratch_root: str, max_parallel_writes: int = 4) -> dict[str, str]:
+    """Write every mart below ``out_root``; ``t`` as for ``mart_frames``."""
+    marts = mart_frames(spark, t, scratch_root)
     paths = {name: f"{out_root}/{name}" for name in marts}
     # The marts are independent jobs: submitted together, the scheduler packs
     # the small ones into the slots the large ones leave free instead of the

@@ -98,6 +98,8 @@ def write_typed_weeks(df: DataFrame, target: str) -> None:
 
 def read_typed_weeks(spark: SparkSession, table: str, target: str) -> DataFrame:
     schema = T.StructType(RAW_SCHEMAS[table].fields + [T.StructField("week", T.StringType(), True)])
+    if not list_weeks(spark, target):  # no week has had rows yet
+        return typed_empty(spark, table)
     return spark.read.schema(schema).parquet(target).drop("week")
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.cleanse import observed
 from ..plans.processed import normalize_table
 from ..schemas import PROCESSED_SCHEMAS, RAW_SCHEMAS
 from ..sources.load import load_skip_bad_rows, read_weeks
@@ -69,7 +70,7 @@ def run_available(spark: SparkSession, raw_table_dir: str, table: str,
         (rows.observe(count, F.count(F.lit(1)).alias("n")).hint("rebalance", WEEK)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(WEEK).parquet(sink_dir))
-        written.append(int(count.get["n"]))
+        written.append(int(observed(count).get("n", 0)))
         drop_weeks(spark, sink_dir, set(weeks) - weeks_with_rows(spark, sink_dir, weeks, rows))
 
     q = (changed_weeks(spark, raw_table_dir, table, since_week, max_files_per_trigger)
@@ -99,6 +100,8 @@ def drop_weeks(spark: SparkSession, sink_dir: str, weeks: set[str]) -> None:
 def read_loaded(spark: SparkSession, sink_dir: str, schema: T.StructType) -> DataFrame:
     """All weeks of a table written by ``run_available`` / seeds."""
     full = T.StructType(schema.fields + [WEEK_FIELD])
+    if not list_weeks(spark, sink_dir):  # no week has had rows yet
+        return spark.createDataFrame([], schema)
     return spark.read.schema(full).parquet(sink_dir).drop(WEEK)
 
 
