@@ -101,21 +101,25 @@ def window_hashes(data: np.ndarray, width: int, seed: int) -> np.ndarray:
     return out
 
 
+def two_hashes(data, places, width):
+    """The name's 64 bits and the independent bits of block and bucket, for
+    the strings at some places."""
+    if not len(places):
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    first, second = (window_hashes(data, width, seed)[places] for seed in (1, 2))
+    return first, mixed(second)
+
+
 class Names:
     """The distinct names of some places of a chunk, by bucket and name, and
     which places have them."""
 
-    def __init__(self, data, places, width, buckets, blocks=1, block=None):
-        if len(places):
-            first, second = (window_hashes(data, width, seed)[places] for seed in (1, 2))
-        else:
-            first = second = np.zeros(0, np.uint64)
-        second = mixed(second)
-        if block is not None:
-            own = np.flatnonzero(second % np.uint64(blocks) == block)
-            places, first, second = places[own], first[own], second[own]
+    def __init__(self, places, first, second, buckets):
         bucket = ((second >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-        order = np.lexsort((first, bucket))
+        order = np.argsort(first)
+        near = bucket[order]
+        # Then stably by bucket; 16 bits are sorted by counting.
+        order = order[np.argsort(near.astype(np.uint16) if buckets <= 1 << 16 else near, kind="stable")]
         self.places, first, bucket = places[order], first[order], bucket[order]
         new = np.ones(len(first), bool)
         new[1:] = (first[1:] != first[:-1]) | (bucket[1:] != bucket[:-1])
@@ -236,9 +240,9 @@ def runs_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def covered(starts: np.ndarray, reach: int, n: int) -> np.ndarray:
     """Which of n bytes lie within ``reach`` from one of the places on."""
     change = np.zeros(n + reach + 1, np.int32)
-    np.add.at(change, starts, 1)
-    np.add.at(change, starts + reach, -1)
-    return np.cumsum(change[:n]) > 0
+    change[starts] += 1  # the places differ
+    change[starts + reach] -= 1
+    return np.cumsum(change[:n], dtype=np.int32) > 0
 
 
 def open_runs(samples: np.ndarray, ends, n: int, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -261,17 +265,22 @@ class Open:
     together; a string of an open place stays in one piece."""
 
     def __init__(self, data, starts, ends, width):
-        flags = np.zeros(len(data) + 1, np.int32)
-        np.add.at(flags, starts, 1)
-        np.add.at(flags, ends, -1)
-        places = np.flatnonzero(np.cumsum(flags[:-1]) > 0)
-        held = covered(places, width, len(data)) if len(places) else np.zeros(len(data), bool)
-        self.data = data[held]
-        self.at = (np.cumsum(held) - 1)[places]
+        def within(ends):
+            flags = np.zeros(len(data) + 1, np.int32)
+            np.add.at(flags, starts, 1)
+            np.add.at(flags, ends, -1)
+            return np.cumsum(flags[:-1], dtype=np.int32) > 0
+
+        starts, ends = np.asarray(starts, np.int64), np.asarray(ends, np.int64)
+        held = within(ends + width - 1)
         self.back = np.flatnonzero(held)
+        at = np.flatnonzero(within(ends)[self.back])
+        self.first, self.second = two_hashes(data[held], at, width)
+        self.at = at
 
-    def names(self, width, buckets, blocks, block):
-        return Names(self.data, self.at, width, buckets, blocks, block)
+    def names(self, buckets, blocks, block):
+        own = np.flatnonzero(self.second % np.uint64(blocks) == block)
+        return Names(self.at[own], self.first[own], self.second[own], buckets)
 
 
 # ---- the operator -----------------------------------------------------------
@@ -317,7 +326,11 @@ def repeats(docs: DataFrame, width: int = WIDTH, chunk_bytes: int = CHUNK, bucke
         place = chunks.select("chunk", "uri", "at", "packed", "n_bytes", "ends")
 
         buckets = max(few, -(-total * (FIELD + 1) // (PERIOD * bucket_names)))
-        samples = lambda row, data: Names(data, sample_places(row["ends"], sample), sample, buckets)
+
+        def samples(row, data):
+            at = sample_places(row["ends"], sample)
+            return Names(at, *two_hashes(data, at, sample), buckets)
+
         answers = _answers(place.repartition(tasks, "chunk").mapInArrow(_ask(samples), ASK))
 
         def settle(batches):
@@ -328,15 +341,15 @@ def repeats(docs: DataFrame, width: int = WIDTH, chunk_bytes: int = CHUNK, bucke
                 yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(
                     (row["chunk"], starts, stops, int((stops - starts).sum())), schema)], schema=schema)
 
-        runs = common.written(place.join(answers, "chunk").repartition(tasks, "chunk").mapInArrow(
+        runs = common.written(place.join(answers.hint("merge"), "chunk").repartition(tasks, "chunk").mapInArrow(
             settle, "chunk long, starts array<long>, stops array<long>, n_open long"), "repeats-open")
         left, = runs.agg(F.coalesce(F.sum("n_open"), F.lit(0))).first()
-        opened = common.written(place.drop("ends").join(runs.filter("n_open > 0"), "chunk"), "repeats-left").repartition(tasks, "chunk")
+        opened = common.written(place.drop("ends").join(runs.filter("n_open > 0").hint("merge"), "chunk"), "repeats-left").repartition(tasks, "chunk")
 
         wide = max(few, -(-left // (blocks * bucket_names)))
 
         def of_block(block):
-            return lambda row, data: Open(data, row["starts"], row["stops"], width).names(width, wide, blocks, block)
+            return lambda row, data: Open(data, row["starts"], row["stops"], width).names(wide, blocks, block)
 
         named = None
         for block in range(blocks):
@@ -344,7 +357,7 @@ def repeats(docs: DataFrame, width: int = WIDTH, chunk_bytes: int = CHUNK, bucke
             named = part if named is None else named.unionByName(part)
 
         gathered = named.groupBy("chunk").agg(F.collect_list(F.struct("block", "answers")).alias("found"))
-        rows = chunks.join(runs, "chunk", "left").join(gathered, "chunk", "left").repartition(tasks, "chunk")
+        rows = chunks.join(runs.hint("merge"), "chunk", "left").join(gathered.hint("merge"), "chunk", "left").repartition(tasks, "chunk")
 
         def cut(batches):
             schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()),
@@ -354,7 +367,7 @@ def repeats(docs: DataFrame, width: int = WIDTH, chunk_bytes: int = CHUNK, bucke
                 if row["found"]:
                     held = Open(data, row["starts"], row["stops"], width)
                     for f in row["found"]:
-                        at = held.names(width, wide, blocks, f["block"]).repeated([(a["bucket"], a["bits"]) for a in f["answers"]])
+                        at = held.names(wide, blocks, f["block"]).repeated([(a["bucket"], a["bits"]) for a in f["answers"]])
                         gone |= covered(held.back[at], width, len(data))
                 start, out = 0, []
                 for doc_id, end in zip(row["doc_ids"], row["ends"]):
