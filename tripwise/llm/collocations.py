@@ -30,12 +30,11 @@ from .shingles import mixed, odd_numbers
 
 MIN_COUNT, LONGEST, PERCENT, TOP = 10, 3, 50, 2000
 #: Bytes of text a task counts at a time, and grams of a bucket in expectation.
-CHUNK, BUCKET = 8 << 20, 1 << 20
+CHUNK, BUCKET = 4 << 20, 1 << 19
 HEAVY = 10  # kind of a level's frequent grams: HEAVY * level
 
-FIELDS = "lang string, kind int, bucket int, words array<string>, a array<int>, b array<int>, c array<int>, n array<long>"
-SCHEMA = pa.schema([("lang", pa.string()), ("kind", pa.int32()), ("bucket", pa.int32()), ("words", pa.list_(pa.string())),
-                    ("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32())), ("c", pa.list_(pa.int32())), ("n", pa.list_(pa.int64()))])
+FIELDS = "lang string, kind int, bucket int, grams binary"
+SCHEMA = pa.schema([("lang", pa.string()), ("kind", pa.int32()), ("bucket", pa.int32()), ("grams", pa.binary())])
 
 # Classes of bytes: 0 of words, 1 between words, 2 between pieces.
 CLASS = np.zeros(256, np.uint8)
@@ -78,60 +77,76 @@ def summed(grams: np.ndarray, n: np.ndarray, vocabulary: int):
     return grams[:, at], np.add.reduceat(n, at)
 
 
-def rows_of(lang, kind, grams, n, vocabulary, buckets):
-    """Packed rows of grams, one per bucket (a hash of the gram), each with
-    the words it needs."""
+def hashed(vocabulary: pa.Array) -> np.ndarray:
     import xxhash
 
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, vocabulary.to_pylist()), np.uint64, len(vocabulary))
+
+
+def rows_of(lang, kind, grams, n, vocabulary, known, buckets):
+    """Packed rows of grams (in order), one per bucket: a hash of the gram's
+    words, whose hashes are ``known``."""
     if not len(n):
         return
-    spelt = vocabulary.take(pa.array(np.unique(grams)))
-    known = np.zeros(len(vocabulary), np.uint64)
-    known[np.unique(grams)] = np.fromiter(map(xxhash.xxh3_64_intdigest, spelt.to_pylist()), np.uint64, len(spelt))
     total = np.zeros(len(n), np.uint64)
     for g, factor in zip(grams, odd_numbers(LONGEST, 31)):
         total = total + known[g] * factor
-    bucket = ((mixed(total) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
+    bucket = ((mixed(total) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+    order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
     edges = np.flatnonzero(np.diff(bucket[order])) + 1
     for part in np.split(order, edges):
-        own, codes = np.unique(grams[:, part], return_inverse=True)
-        codes = codes.reshape(len(grams), -1).astype(np.int32)
-        lists = [codes[k] if k < len(codes) else codes[0][:0] for k in range(LONGEST)]
-        yield row_batch(lang, kind, int(bucket[part[0]]), vocabulary.take(pa.array(own)), lists, n[part])
-
-
-def row_batch(lang, kind, bucket, words, lists, n) -> pa.RecordBatch:
-    one = lambda values, t: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, t))
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang], pa.string()), pa.array([kind], pa.int32()), pa.array([bucket], pa.int32()), one(words, pa.string()),
-         *[one(x, pa.int32()) for x in lists], one(n, pa.int64())], schema=SCHEMA)
+        yield row_batch(lang, kind, int(bucket[part[0]]), grams[:, part], n[part], vocabulary)
+
+
+def row_batch(lang, kind, bucket, grams, n, vocabulary) -> pa.RecordBatch:
+    """One row: the grams against the words they need, compressed.  Grams are
+    in order, so the first words are stored as steps."""
+    used = np.zeros(len(vocabulary), bool)
+    used[grams.ravel()] = True
+    codes = (np.cumsum(used) - 1)[grams].astype("<u4")
+    words = vocabulary.take(pa.array(np.flatnonzero(used)))
+    spelt = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), " ")[0].as_buffer()
+    steps = np.diff(codes[0], prepend=codes[0][:1] * 0)
+    data = b"".join([np.array([len(n), spelt.size], "<u8").tobytes(), n.astype("<i8").tobytes(), steps.tobytes(),
+                     *[c.tobytes() for c in codes[1:]], spelt.to_pybytes()])
+    blob = np.array([len(data)], "<u8").tobytes() + pa.Codec("zstd", 1).compress(data, asbytes=True)
+    return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((lang, kind, bucket, blob), SCHEMA)], schema=SCHEMA)
+
+
+def opened(blob: bytes, kind: int):
+    """(grams, n, words) of a packed row."""
+    data = pa.Codec("zstd", 1).decompress(blob[8:], int(np.frombuffer(blob, "<u8", 1)[0]))
+    size, _ = (int(x) for x in np.frombuffer(data, "<u8", 2))
+    n = np.frombuffer(data, "<i8", size, 16)
+    codes = np.frombuffer(data, "<u4", size * kind, 16 + 8 * size).reshape(kind, size).astype(np.int64)
+    codes[0] = np.cumsum(codes[0])
+    text = pa.array([data.slice(16 + (8 + 4 * kind) * size).to_pybytes().decode()])
+    return codes, n, pc.split_pattern(text, " ")[0].values
 
 
 def counted(lang: str, texts: list[bytes], buckets: int):
     """Packed rows of one language's texts: edges (kind 3), pairs at the end
     of a piece (2) and words at the end of a piece (1)."""
     codes, vocabulary, pieces = words_of(texts)
-    size = len(codes)
+    size, known = len(codes), hashed(vocabulary)
     follows = lambda k: np.concatenate([pieces[k:] == pieces[:size - k], np.zeros(min(k, size), bool)]) if size else np.zeros(0, bool)
     for kind in range(LONGEST, 0, -1):
         # The longest grams count wherever they stand, shorter ones at the end.
         here = follows(kind - 1) & (True if kind == LONGEST else ~follows(kind))
         at = np.flatnonzero(here)
         grams, n = summed(np.stack([codes[at + k] for k in range(kind)]), np.ones(len(at), np.int64), len(vocabulary))
-        yield from rows_of(lang, kind, grams, n, vocabulary, buckets)
+        yield from rows_of(lang, kind, grams, n, vocabulary, known, buckets)
 
 
 def unpacked(table: pa.Table, kind: int):
     """(grams, sums of n, vocabulary) of one bucket's packed rows."""
-    column = lambda name: pa.concat_arrays(table.column(name).chunks)
-    words = column("words")
-    coded = words.flatten().dictionary_encode()
-    before = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy())])[:-1]
-    shift = np.repeat(before, pc.list_value_length(column("a")).to_numpy())
-    own = coded.indices.to_numpy().astype(np.int64)
-    grams = np.stack([own[column(c).flatten().to_numpy() + shift] for c in "abc"[:kind]])
-    return *summed(grams, column("n").flatten().to_numpy(), len(coded.dictionary)), coded.dictionary
+    parts = [opened(blob, kind) for blob in table.column("grams").to_pylist()]
+    coded = pa.concat_arrays([words for _, _, words in parts]).dictionary_encode()
+    own, at, grams = coded.indices.to_numpy().astype(np.int64), 0, []
+    for codes, _, words in parts:
+        grams.append(own[at:at + len(words)][codes])
+        at += len(words)
+    return *summed(np.concatenate(grams, axis=1), np.concatenate([n for _, n, _ in parts]), len(coded.dictionary)), coded.dictionary
 
 
 def level(packed: DataFrame, kind: int, buckets: int, least: int) -> DataFrame:
@@ -143,15 +158,10 @@ def level(packed: DataFrame, kind: int, buckets: int, least: int) -> DataFrame:
         if own != kind:
             return table.select(SCHEMA.names).cast(SCHEMA)
         grams, n, vocabulary = unpacked(table, kind)
-        out = []
         heavy = np.flatnonzero(n >= least)
-        if len(heavy):
-            used, codes = np.unique(grams[:, heavy], return_inverse=True)
-            codes = codes.reshape(kind, -1).astype(np.int32)
-            out.append(row_batch(lang, HEAVY * kind, bucket, vocabulary.take(pa.array(used)),
-                                 [codes[k] if k < kind else codes[0][:0] for k in range(LONGEST)], n[heavy]))
+        out = [row_batch(lang, HEAVY * kind, bucket, grams[:, heavy], n[heavy], vocabulary)] if len(heavy) else []
         if kind > 1:
-            out.extend(rows_of(lang, kind - 1, *summed(grams[:-1], n, len(vocabulary)), vocabulary, buckets))
+            out.extend(rows_of(lang, kind - 1, *summed(grams[:-1], n, len(vocabulary)), vocabulary, hashed(vocabulary), buckets))
         return pa.Table.from_batches(out, SCHEMA)
 
     found = packed.groupBy("lang", "kind", "bucket").applyInArrow(run, FIELDS)
@@ -160,9 +170,17 @@ def level(packed: DataFrame, kind: int, buckets: int, least: int) -> DataFrame:
 
 def grams_of(packed: DataFrame, kind: int, names: list[str]) -> DataFrame:
     """One row per frequent gram of a level: lang, its words, n."""
-    lists = ["a", "b", "c"][:kind]
-    each = packed.filter(F.col("kind") == HEAVY * kind).select("lang", "words", F.explode(F.arrays_zip(*lists, "n")).alias("g"))
-    return each.select("lang", *[F.get("words", F.col(f"g.{c}")).alias(name) for c, name in zip(lists, names)], F.col("g.n").alias("n"))
+    def run(batches):
+        for batch in batches:
+            for lang, blob in zip(batch.column("lang").to_pylist(), batch.column("grams").to_pylist()):
+                codes, n, words = opened(blob, kind)
+                columns = [pa.array([lang]).take(pa.array(np.zeros(len(n), np.int64))), *[words.take(pa.array(c)) for c in codes], pa.array(n)]
+                whole = pa.RecordBatch.from_arrays(columns, names=["lang", *names, "n"])
+                for at in range(0, len(n), 50_000):
+                    yield whole.slice(at, 50_000)
+
+    fields = ", ".join(["lang string", *[f"{name} string" for name in names], "n long"])
+    return packed.filter(F.col("kind") == HEAVY * kind).mapInArrow(run, fields)
 
 
 def graph(docs: DataFrame, min_count: int = MIN_COUNT, chunk_bytes: int = CHUNK, bucket_grams: int = BUCKET):
@@ -173,18 +191,20 @@ def graph(docs: DataFrame, min_count: int = MIN_COUNT, chunk_bytes: int = CHUNK,
     plain = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"))
     total, = plain.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()
-    buckets = max(common.shuffle_partitions(spark), -(-total // (6 * bucket_grams)))
+    buckets = max(1, -(-total // (6 * bucket_grams)))
 
     def count(batches):
-        held, size = {}, 0
+        held, sizes = {}, {}
         for batch in batches:
             for lang, data in zip(batch.column("lang").to_pylist(), batch.column("data").to_pylist()):
                 held.setdefault(lang, []).append(data)
-                size += len(data)
-                if size >= chunk_bytes:
-                    for key, texts in held.items():
-                        yield from counted(key, texts, buckets)
-                    held, size = {}, 0
+                sizes[lang] = sizes.get(lang, 0) + len(data)
+                # Large chunks share more words; with many languages the
+                # largest goes first.
+                full = lang if sizes[lang] >= chunk_bytes else max(sizes, key=sizes.get) if sum(sizes.values()) >= 6 * chunk_bytes else None
+                if full is not None:
+                    sizes.pop(full)
+                    yield from counted(full, held.pop(full), buckets)
         for key, texts in held.items():
             yield from counted(key, texts, buckets)
 
@@ -192,13 +212,18 @@ def graph(docs: DataFrame, min_count: int = MIN_COUNT, chunk_bytes: int = CHUNK,
         three = level(plain.mapInArrow(count, FIELDS), 3, buckets, min_count)
         two = level(three.filter("kind IN (1, 2)"), 2, buckets, min_count)
         one = level(two.filter("kind = 1"), 1, buckets, 1)
-    edges = common.written(grams_of(three, 3, ["x", "y", "z"]), "colloc-edges")
-    pairs = common.written(grams_of(two, 2, ["x", "y"]), "colloc-pairs")
-    return edges, pairs, common.written(grams_of(one, 1, ["x"]), "colloc-words")
+        edges = common.written(grams_of(three, 3, ["x", "y", "z"]), "colloc-edges")
+        pairs = common.written(grams_of(two, 2, ["x", "y"]), "colloc-pairs")
+        return edges, pairs, common.written(grams_of(one, 1, ["x"]), "colloc-words")
 
 
 # ---- paths ------------------------------------------------------------------
 
+def met(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A merge join: both sides grow with the corpus, so none is broadcast."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def unary_paths(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     """lang, words, n of every maximal run of unary pairs, with the word
     before and after it: all occurrences of each of these pairs come from one
@@ -209,14 +234,14 @@ def unary_paths(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     into = edges.select("lang", F.col("y").alias("x"), F.col("z").alias("y"), "n", F.col("x").alias("before"))
     out = edges.select("lang", "x", "y", "n", F.col("z").alias("after"))
     key = lambda a, b: F.struct("lang", F.col(a).alias("x"), F.col(b).alias("y"))
-    unary = common.written(pairs.join(into, ["lang", "x", "y", "n"]).join(out, ["lang", "x", "y", "n"])
+    unary = common.written(met(met(pairs, into, ["lang", "x", "y", "n"]), out, ["lang", "x", "y", "n"])
                            .select(key("x", "y").alias("pair"), "n", "before", "after"), "colloc-unary")
     last = unary.select(F.struct("pair.lang", F.col("before").alias("x"), F.col("pair.x").alias("y")).alias("up"), "pair")
-    found = common.written(last.join(unary.select(F.col("pair").alias("up"), F.lit(1).alias("one")), "up", "left")
+    found = common.written(met(last, unary.select(F.col("pair").alias("up"), F.lit(1).alias("one")), "up", "left")
                            .select("pair", F.when(F.col("one") == 1, F.col("up")).alias("up"), F.coalesce("one", F.lit(0)).alias("hops")), "colloc-up")
     while True:
         on = found.select(F.col("pair").alias("up"), F.col("up").alias("further"), F.col("hops").alias("more"))
-        step = common.written(found.join(on, "up", "left").select(
+        step = common.written(met(found, on, "up", "left").select(
             "pair", F.coalesce("further", "up").alias("up"), (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops"),
             F.col("further").isNotNull().alias("moved")), "colloc-up")
         found = step.drop("moved")
@@ -224,7 +249,7 @@ def unary_paths(edges: DataFrame, pairs: DataFrame) -> DataFrame:
             break
     # A run is as long as a piece of text at most.
     member = F.struct("hops", F.col("pair.x").alias("x"), F.col("pair.y").alias("y"), "before", "after")
-    runs = (found.join(unary, "pair").groupBy(F.coalesce("up", "pair").alias("first"))
+    runs = (met(found, unary, "pair").groupBy(F.coalesce("up", "pair").alias("first"))
             .agg(F.sort_array(F.collect_list(member)).alias("m"), F.first("n").alias("n")))
     end = F.element_at("m", -1)
     return runs.select(F.col("first.lang").alias("lang"), F.concat(
@@ -260,21 +285,21 @@ def phrases(docs: DataFrame, min_count: int = MIN_COUNT, percent: int = PERCENT,
         F.sequence(F.lit(1), F.size("words") - 4),
         lambda k: F.struct(F.get("words", k).alias("x"), F.get("words", k + 1).alias("y"), F.get("words", k + 2).alias("z")))).alias("e"))
     within = within.select("lang", "e.x", "e.y", "e.z", "n", F.col("n").alias("xy"), F.col("n").alias("yz"))
-    outside = edges.join(within.select("lang", "x", "y", "z"), ["lang", "x", "y", "z"], "left_anti")
-    outside = (outside.join(pairs.withColumnRenamed("n", "xy"), ["lang", "x", "y"])
-               .join(pairs.select("lang", F.col("x").alias("y"), F.col("y").alias("z"), F.col("n").alias("yz")), ["lang", "y", "z"]))
+    outside = met(edges, within.select("lang", "x", "y", "z"), ["lang", "x", "y", "z"], "left_anti")
+    outside = met(met(outside, pairs.withColumnRenamed("n", "xy"), ["lang", "x", "y"]),
+                  pairs.select("lang", F.col("x").alias("y"), F.col("y").alias("z"), F.col("n").alias("yz")), ["lang", "y", "z"])
     triples = outside.unionByName(within)
     times = lambda name: words.select("lang", F.col("x").alias(name), F.col("n").alias(f"n_{name}"))
     cut = lambda k, left, right: F.struct(F.lit(k).alias("k"), F.col(left).alias("l"), F.col(right).alias("r"))
-    triples = (triples.join(times("x"), ["lang", "x"]).join(times("z"), ["lang", "z"])
+    triples = (met(met(triples, times("x"), ["lang", "x"]), times("z"), ["lang", "z"])
                .select("lang", F.concat_ws(" ", "x", "y", "z").alias("phrase"), F.col("n").alias("a"),
                        F.array(cut(1, "n_x", "yz"), cut(2, "xy", "n_z")).alias("cuts")))
     # Unary pairs lie in an edge of equal count; the others look at theirs.
-    rest = pairs.join(unary, ["lang", "x", "y"], "left_anti")
+    rest = met(pairs, unary, ["lang", "x", "y"], "left_anti")
     holders = edges.select("lang", "x", "y", F.col("n").alias("most")).union(edges.select("lang", F.col("y"), F.col("z"), F.col("n")))
     most = holders.groupBy("lang", "x", "y").agg(F.max("most").alias("most"))
-    rest = rest.join(most, ["lang", "x", "y"], "left").filter(F.coalesce(100 * F.col("most") < percent * F.col("n"), F.lit(percent > 0)))
-    rest = (rest.join(times("x"), ["lang", "x"]).join(times("y"), ["lang", "y"])
+    rest = met(rest, most, ["lang", "x", "y"], "left").filter(F.coalesce(100 * F.col("most") < percent * F.col("n"), F.lit(percent > 0)))
+    rest = (met(met(rest, times("x"), ["lang", "x"]), times("y"), ["lang", "y"])
             .select("lang", F.concat_ws(" ", "x", "y").alias("phrase"), F.col("n").alias("a"), F.array(cut(1, "n_x", "n_y")).alias("cuts")))
     return scored(triples.unionByName(rest)).join(totals, "lang")
 
