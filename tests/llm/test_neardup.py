@@ -83,6 +83,28 @@ def test_groups_and_chains(spark):
     check(spark, [(order[k], t) for k, (_, t) in enumerate(rows)])
 
 
+def test_rows_grow_with_texts(spark, monkeypatch):
+    """Texts near each other but none linked: what the stages write stays in
+    proportion to the texts, and the result is that of brute force."""
+    rng, rows, written = np.random.default_rng(8), [], {}
+    base = [f"b{k}" for k in range(300)]
+    rows = [(k, edited(rng, base, 9)) for k in range(600)] + [(600 + k, edited(rng, base, 5)) for k in range(40)]
+    plain = neardup.common.written
+
+    def counted(df, label):
+        out = plain(df, label)
+        size[label] = max(size.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(neardup.common, "written", counted)
+    for n in (320, 640):
+        size = written[n] = {}
+        check(spark, rows[-n:])
+    bands = neardup.REGISTERS // neardup.BAND
+    assert all(count <= 3 * bands * n for n in written for count in written[n].values()), written
+    assert all(written[640][label] <= 4 * written[320][label] + 100 for label in written[320]), written
+
+
 EDGE = [(5, None), (3, ""), (4, " \n\t"), (9, "One two three"), (2, "one  TWO\nthree"), (7, "one two"), (None, "one two three"), (None, "null id " * 9),
         (None, "null id " * 9), (8, "a b c d e"), (8, "a b c d e"), (8, "other text with the same id as before"), (6, "É x"), (10, "é x"),
         (11, "long text " * 40_000), (12, "long text " * 40_001)]

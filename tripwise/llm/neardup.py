@@ -11,8 +11,10 @@ components.
 
 A bucket never gives all its pairs.  First every class is verified against
 the most similar of its buckets' representatives only.  After that, only pairs
-from different components are looked at, in blocks of bounded size; pairs that
-the likelihood rules out go no further.  So a group of thousands of near
+from different components are looked at, in blocks of bounded size: the
+likelihood tells which classes may have a partner there, and these bring their
+whole sets to the block, where they are compared and joined in place.  Rows so
+grow with the classes and not with their pairs, a group of thousands of near
 copies costs one link for each, and no candidate pair between different
 components is left out.
 """
@@ -284,46 +286,111 @@ def components(links: DataFrame) -> DataFrame:
         edges = common.written(moved.filter("u > v").distinct(), "neardup-small")
 
 
-def across_components(buckets: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Likely pairs within a bucket but from different components.
+def open_members(buckets: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows of the classes that have a likely partner of another component
+    in one of their buckets: key, blocks, block, p, q (the pair of blocks it
+    was met in), cid, label, n_shingles.
 
     Buckets with a single component are done.  The others are cut into blocks
     of at most BLOCK classes in expectation, and each pair of blocks is one
-    row group of bounded size, whose registers are compared as matrices."""
+    row group of bounded size, whose registers are compared as matrices.
+    Only members come out, not their pairs."""
     marked = common.written(with_label(buckets, labels), "neardup-marked")
     mixed_keys = (marked.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("n"))
                   .filter("x < y").select("key", F.expr(f"CAST(ceil(n / {BLOCK}) AS INT)").alias("blocks")))
     rows = common.written(marked.join(mixed_keys.hint("merge"), "key"), "neardup-mixed")
     # Buckets of one block share a row group; larger ones have their own.
     groups = max(1, -(-rows.count() // (8 * BLOCK)))
-    own = F.when(F.col("blocks") == 1, F.pmod("key", F.lit(groups))).otherwise(F.col("key"))
-    rows = (rows.withColumn("cell", own).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    rows = (rows.withColumn("cell", own_cell(groups)).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
             .join(classes.select("cid", "n_shingles", "registers").hint("merge"), "cid"))
     # A block meets itself and every other block once.
     both = F.expr("transform(sequence(0, blocks - 1), o -> struct(least(block, o) AS p, greatest(block, o) AS q))")
+    names = ["key", "blocks", "block", "p", "q", "cid", "label", "n_shingles"]
 
     def compare(group, table):
-        cid, label, n, block, key = (table.column(c).to_numpy() for c in ("cid", "label", "n_shingles", "block", "key"))
+        label, n, block, key = (table.column(c).to_numpy() for c in ("label", "n_shingles", "block", "key"))
         held = np.frombuffer(b"".join(table.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
         p, q = group[2].as_py(), group[3].as_py()
         order = np.argsort(key, kind="stable")
-        out = [np.zeros((0, 3))]
+        near = np.zeros(len(key), bool)
         for bucket in np.split(order, np.flatnonzero(np.diff(key[order])) + 1):
             left, right = bucket[block[bucket] == p], bucket[block[bucket] == q]
-            i, j = (x.ravel() for x in np.meshgrid(left, right, indexing="ij"))
-            fit = (label[i] != label[j]) & ((i < j) | (p != q)) & (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j]))
-            out.append(np.stack([i[fit], j[fit]], axis=1))
-        pairs = np.concatenate([x[:, :2] for x in out]).astype(np.int64)
-        found = np.concatenate([np.zeros(0)] + [similar(held[x[:, 0]], held[x[:, 1]], n[x[:, 0]], n[x[:, 1]])
-                                               for x in np.array_split(pairs, max(1, len(pairs) // 8192))])
-        near = pairs[found >= LIKELY]
-        a, b = cid[near[:, 0]], cid[near[:, 1]]
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "likeness": found[found >= LIKELY]})
+            for at in range(0, len(left), 16):
+                i, j = (x.ravel() for x in np.meshgrid(left[at:at + 16], right, indexing="ij"))
+                fit = (label[i] != label[j]) & ((i < j) | (p != q)) & (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j]))
+                fit &= ~(near[i] & near[j])
+                i, j = i[fit], j[fit]
+                likely = similar(held[i], held[j], n[i], n[j]) >= LIKELY
+                near[i[likely]] = True
+                near[j[likely]] = True
+        return table.filter(pa.array(near)).select(names)
 
     cells = rows.select("key", "cell", "blocks", "block", "cid", "label", "n_shingles", "registers", F.explode(both).alias("c"))
-    found = cells.select("*", F.col("c.p").alias("p"), F.col("c.q").alias("q"), (F.col("blocks") == 1).alias("small")).drop("c", "blocks")
-    return (found.groupBy("cell", "small", "p", "q").applyInArrow(compare, "a long, b long, likeness double")
-            .groupBy("a", "b").agg(F.max("likeness").alias("likeness")))
+    found = cells.select("*", F.col("c.p").alias("p"), F.col("c.q").alias("q"), (F.col("blocks") == 1).alias("small")).drop("c")
+    return common.written(found.groupBy("cell", "small", "p", "q").applyInArrow(
+        compare, "key long, blocks int, block int, p int, q int, cid long, label long, n_shingles long"), "neardup-open")
+
+
+def own_cell(groups: int):
+    """The row group of a bucket: shared by buckets of one block."""
+    return F.when(F.col("blocks") == 1, F.pmod("key", F.lit(groups))).otherwise(F.col("key"))
+
+
+def across_components(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """x, y: components that a verified link between two of ``members``
+    joins.
+
+    Each pair of blocks gets its members' whole sets and compares them
+    exactly, but only pairs whose components differ still: links found in a
+    row group join components there at once, and only such links come out,
+    fewer than the row group has components."""
+    def sets(batches):
+        schema = pa.schema([("cid", pa.int64()), ("shingles", pa.binary())])
+        for batch in batches:
+            hashes, offsets, *_ = sets_of(batch.column("text"))
+            yield pa.RecordBatch.from_arrays([batch.column("cid"), pa.array(
+                [hashes[a:b].tobytes() for a, b in zip(offsets, offsets[1:])], pa.binary())], schema=schema)
+
+    wanted = texts.join(members.select("cid").distinct().hint("merge"), "cid")
+    held = common.written(wanted.mapInArrow(sets, "cid long, shingles binary"), "neardup-sets")
+    # Row groups of about a million shingles, or of one bucket or pair of blocks.
+    total, = members.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
+    rows = members.withColumn("cell", own_cell(max(1, -(-total // (1 << 20))))).withColumn("small", F.col("blocks") == 1)
+
+    def settle(group, table):
+        label, block, key = (table.column(c).to_numpy() for c in ("label", "block", "key"))
+        sizes = np.array([len(x.as_buffer()) // 8 for x in table.column("shingles")])
+        _, ids = np.unique(np.frombuffer(b"".join(table.column("shingles").to_pylist()), "<u8"), return_inverse=True)
+        ends = np.cumsum(sizes)
+        marked = np.zeros(len(ids), np.int32)
+        names, own = np.unique(label, return_inverse=True)
+        root = np.arange(len(names))
+        p, q = group[2].as_py(), group[3].as_py()
+        order, links = np.argsort(key, kind="stable"), []
+        for bucket in np.split(order, np.flatnonzero(np.diff(key[order])) + 1):
+            left, right = bucket[block[bucket] == p], bucket[block[bucket] == q]
+            if not len(right):
+                continue
+            theirs = np.concatenate([ids[ends[j] - sizes[j]:ends[j]] for j in right])
+            starts = np.concatenate([[0], np.cumsum(sizes[right])[:-1]])
+            for i in left:
+                fit = (root[own[right]] != root[own[i]]) & (100 * np.minimum(sizes[right], sizes[i]) >= PERCENT * np.maximum(sizes[right], sizes[i]))
+                if p == q:
+                    fit &= right > i
+                if not fit.any():
+                    continue
+                mine = ids[ends[i] - sizes[i]:ends[i]]
+                marked[mine] = 1
+                shared = np.add.reduceat(marked[theirs], starts)
+                marked[mine] = 0
+                for j in right[fit & (100 * shared >= PERCENT * (sizes[right] + sizes[i] - shared))]:
+                    if root[own[j]] != root[own[i]]:
+                        root[root == root[own[j]]] = root[own[i]]
+                        links.append((min(label[i], label[j]), max(label[i], label[j])))
+        return pa.table({"x": pa.array([a for a, _ in links], pa.int64()), "y": pa.array([b for _, b in links], pa.int64())})
+
+    found = rows.join(held.hint("merge"), "cid").groupBy("cell", "small", "p", "q").applyInArrow(settle, "x long, y long")
+    return common.written(found.distinct(), "neardup-verified")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -345,29 +412,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     tried = common.written(best.select("a", "b"), "neardup-tried")
     texts = texts_of_classes(buckets.select("cid").distinct(), classes, docs)
     labels = roots(verified(tried, texts))
-    # Components only grow together, so the pairs between components that are
-    # left later are among those found now.
-    pairs = between(across_components(buckets, labels, classes).join(tried, ["a", "b"], "left_anti"), labels)
-    while not pairs.isEmpty():
-        # The likeliest pairs of two components are tried first: once they
-        # are one component, the others need no look.  Then all the rest.
-        top = pairs.groupBy("x", "y").agg(F.max("likeness").alias("most"), F.count("*").alias("n"))
-        near = (F.col("likeness") >= F.col("most") - 0.02) | (F.col("n") <= 16) | F.col("again")
-        chosen = common.written(pairs.join(top, ["x", "y"]).withColumn("now", near), "neardup-chosen")
-        links = verified(chosen.filter("now").select("a", "b", "x", "y"), texts)
-        labels = merged(labels, common.written(links.select("x", "y").distinct(), "neardup-verified"))
-        pairs = between(chosen.filter("NOT now").select("a", "b", "likeness"), labels, again=True)
+    members = open_members(buckets, labels, classes)
+    if not members.isEmpty():
+        labels = merged(labels, across_components(members, texts))
     return named(rows, classes, labels)
 
 
-def between(pairs: DataFrame, labels: DataFrame, again: bool = False) -> DataFrame:
-    """a, b, likeness, again, x, y of the pairs whose ends are in different
-    components x < y."""
-    ends = with_label(with_label(pairs, labels, "a", "la"), labels, "b", "lb").filter("la <> lb")
-    return common.written(ends.select("a", "b", "likeness", F.lit(again).alias("again"),
-                                      F.least("la", "lb").alias("x"), F.greatest("la", "lb").alias("y")), "neardup-pairs")
-
-
 def named(rows: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, and the row's text_hash and
     whether it is of its component's first member (``first``)."""
