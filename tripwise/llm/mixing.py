@@ -4,8 +4,11 @@ Sources share the words of the corpus by weight; a target stops at
 ``most_passes`` times its source, and the excess is reshared by weight.  A
 source's documents stand in a fixed random order (a hash of id and text) that
 is passed through as often as its target asks, the last pass in part: whole
-documents only, and a few further documents that fill the gap to the target.  Each source has a weight schedule over training time, linear from
-start to end.  Its integral is the source's cumulative word demand; inverting
+documents only.  Where a document is longer than what is left to the target it
+is skipped, and those after it go on filling until no further document fits; the
+smallest one left is taken too if that comes nearer.  So a source misses its
+target by at most half of the smallest document that could not be fitted in.  Each
+source has a weight schedule over training time, linear from start to end.  Its integral is the source's cumulative word demand; inverting
 that at the middle of a document's copy gives the copy's training position.
 Documents are then sorted by position over range partitions.
 
@@ -19,11 +22,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripwise.operators.joins import bounded_broadcast
+
 from . import common
 from .quality import words_of
 
 WEIGHTS = (5, 2, 1)
 SOURCE, SIZE, ORDER = "__mix_source", "__mix_size", "__mix_order"
+#: Documents of a source that one round of filling looks at.
+LIST = 1000
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -77,18 +84,12 @@ def running(rows: DataFrame, cells: int) -> DataFrame:
     this one.  A source is cut into ``cells`` ranges of the hash; totals run
     within a cell, and over the cells of a source."""
     first = F.conv(F.substring(ORDER, 1, 8), 16, 10).cast("long")
-    rows = rows.withColumn("cell", F.floor(first * F.lit(cells) / F.lit(1 << 32)).cast("int"))
-    totals = rows.groupBy(SOURCE, "cell").agg(F.sum(SIZE).alias("words"))
-    before = totals.select(SOURCE, "cell", (F.sum("words").over(Window.partitionBy(SOURCE).orderBy("cell")) - F.col("words")).alias("before"))
-    within = Window.partitionBy(SOURCE, "cell").orderBy(ORDER, "doc_id", SIZE).rowsBetween(Window.unboundedPreceding, 0)
-    return (rows.join(before.hint("shuffle_merge"), [SOURCE, "cell"])
-            .withColumn("up_to", F.col("before") + F.sum(SIZE).over(within)).drop("before", "cell"))
-
-
-def size_class(size: Column) -> Column:
-    """The binary length of a size and its three leading bits, as one number."""
-    bits = F.length(F.bin(size))
-    return bits * 8 + F.call_function("shiftright", size, F.greatest(bits - 3, F.lit(0))).cast("int")
+    rows = rows.withColumn("__mix_cell", F.floor(first * F.lit(cells) / F.lit(1 << 32)).cast("int"))
+    totals = rows.groupBy(SOURCE, "__mix_cell").agg(F.sum(SIZE).alias("words"))
+    before = totals.select(SOURCE, "__mix_cell", (F.sum("words").over(Window.partitionBy(SOURCE).orderBy("__mix_cell")) - F.col("words")).alias("before"))
+    within = Window.partitionBy(SOURCE, "__mix_cell").orderBy(ORDER, "doc_id", SIZE).rowsBetween(Window.unboundedPreceding, 0)
+    return (rows.join(before.hint("shuffle_merge"), [SOURCE, "__mix_cell"])
+            .withColumn("up_to", F.col("before") + F.sum(SIZE).over(within)).drop("before"))
 
 
 def with_sources(rows: DataFrame, stats: DataFrame, n_sources: int) -> DataFrame:
@@ -96,9 +97,54 @@ def with_sources(rows: DataFrame, stats: DataFrame, n_sources: int) -> DataFrame
     return rows.join(F.broadcast(stats) if n_sources <= 100_000 else stats, SOURCE)
 
 
+def filled(rows: DataFrame, gaps: DataFrame, n_sources: int) -> DataFrame:
+    """SOURCE, up_to, size of the documents that fill the gaps: in hash order
+    each document that still fits, and then the smallest other one if the
+    target is nearer with it.
+
+    A round folds over each source's next LIST documents that are no longer
+    than its gap; only later ones that may still fit go on to the next round.
+    The gap soon is smaller than any document, so rounds are few.  Places are
+    counted within cells."""
+    size, taken = F.col(SIZE), None
+    gaps = gaps.select(SOURCE, "gap", F.lit(0).cast("long").alias("after"))
+    left = rows.filter(size > 0).select(SOURCE, SIZE, "up_to", "__mix_cell")
+    none = F.array().cast("array<struct<up_to:bigint,words:bigint>>")
+    while True:
+        fits = with_sources(left, gaps, n_sources).filter((size <= F.col("gap")) & (F.col("up_to") > F.col("after"))).drop("gap", "after")
+        left = common.written(fits, "mix-open")
+        if left.isEmpty():
+            break
+        counts = left.groupBy(SOURCE, "__mix_cell").agg(F.count("*").alias("n"))
+        before = F.sum("n").over(Window.partitionBy(SOURCE).orderBy("__mix_cell")) - F.col("n")
+        near = counts.withColumn("before", before).filter(F.col("before") < LIST).drop("n")
+        place = F.row_number().over(Window.partitionBy(SOURCE, "__mix_cell").orderBy("up_to"))
+        first = left.join(near.hint("shuffle_merge"), [SOURCE, "__mix_cell"]).withColumn("place", F.col("before") + place).filter(F.col("place") <= LIST)
+        lists = first.groupBy(SOURCE).agg(F.sort_array(F.collect_list(F.struct("up_to", size.alias("words")))).alias("found"))
+
+        def fill(held, d):
+            return F.when(d["words"] <= held["gap"], F.struct(
+                (held["gap"] - d["words"]).alias("gap"), F.array_append(held["taken"], d).alias("taken"))).otherwise(held)
+
+        step = common.written(
+            gaps.join(lists, SOURCE, "left")
+            .withColumn("held", F.aggregate(F.coalesce("found", none), F.struct(F.col("gap").alias("gap"), none.alias("taken")), fill))
+            .select(SOURCE, F.col("held.gap").alias("gap"), F.coalesce(F.element_at("found", -1)["up_to"], F.col("after")).alias("after"),
+                    F.col("held.taken").alias("taken")), "mix-filled")
+        chosen = step.select(SOURCE, F.inline("taken")).withColumnRenamed("words", SIZE)
+        taken = chosen if taken is None else taken.unionByName(chosen)
+        gaps = step.drop("taken")
+    over = with_sources(rows.filter(size > 0).select(SOURCE, SIZE, "up_to"), gaps.select(SOURCE, "gap"), n_sources)
+    over = over.filter((size > F.col("gap")) & (size < 2 * F.col("gap")))
+    if taken is not None:
+        over = over.join(taken.select(SOURCE, "up_to").hint("shuffle_merge"), [SOURCE, "up_to"], "left_anti")
+    last = over.groupBy(SOURCE).agg(F.min(F.struct(SIZE, "up_to")).alias("d")).select(SOURCE, "d.up_to", f"d.{SIZE}")
+    return last if taken is None else taken.unionByName(last)
+
+
 def plan(docs: DataFrame, weights=WEIGHTS, most_passes: int = 3, cell_rows: int = 5000):
-    """(rows without texts with running totals, statistics per source, number
-    of sources, cells): everything needed to place the documents."""
+    """(rows without texts with running totals, statistics per source, the
+    fillers, number of sources, cells): all that placing the documents needs."""
     light = common.written(sized(docs.select("doc_id", "text", "source")).drop("text", "source"), "mix-sizes")
     targets = common.written(source_targets(light, weights, most_passes), "mix-targets")
     n_sources, most = targets.agg(F.count("*"), F.max("n_rows")).first()
@@ -107,41 +153,22 @@ def plan(docs: DataFrame, weights=WEIGHTS, most_passes: int = 3, cell_rows: int
     near = with_sources(rows, targets, n_sources)
     inside = F.col("up_to") <= F.col("extra_words")
     gaps = near.groupBy(SOURCE).agg(F.sum(F.when(inside, F.col(SIZE)).otherwise(0)).alias("inside_words"))
-    targets = targets.join(gaps, SOURCE).withColumn("gap", F.col("extra_words") - F.col("inside_words"))
-    # Further documents fill the gap: of each size class the first one outside
-    # (a bounded list per source), largest first as they fit, then one more if
-    # that brings the total nearer.
-    size = F.col(SIZE)
-    outside = with_sources(rows, targets, n_sources).filter(~inside & (size > 0) & (size < 2 * F.col("gap")))
-    firsts = (outside.groupBy(SOURCE, size_class(size).alias("class"))
-              .agg(F.max(F.struct((-F.col("up_to")).alias("place"), size.alias("words"))).alias("d")))
-    lists = firsts.groupBy(SOURCE).agg(F.sort_array(F.collect_list(F.struct("d.words", "d.place")), asc=False).alias("found"))
-    none = F.array().cast("array<struct<words:bigint,place:bigint>>")
-    state = F.struct(F.col("gap").alias("gap"), none.alias("taken"))
-
-    def fill(held, d):
-        return F.when(d["words"] <= held["gap"], F.struct(
-            (held["gap"] - d["words"]).alias("gap"), F.array_append(held["taken"], d).alias("taken"))).otherwise(held)
-
-    def close(held, found):
-        left = F.filter(found, lambda d: ~F.array_contains(held["taken"], d) & (F.abs(d["words"] - held["gap"]) < held["gap"]))
-        best = F.array_min(F.transform(left, lambda d: F.struct(F.abs(d["words"] - held["gap"]).alias("miss"), (-d["place"]).alias("p"), d.alias("d"))))
-        return F.when(best.isNull(), held["taken"]).otherwise(F.array_append(held["taken"], best["d"]))
-
-    stats = (targets.join(lists, SOURCE, "left").withColumn("found", F.coalesce("found", none))
-             .withColumn("held", F.aggregate("found", state, fill))
-             .withColumn("taken_more", close(F.col("held"), F.col("found")))
-             .withColumn("fillers", F.transform("taken_more", lambda d: -d["place"]))
-             .withColumn("source_taken", F.col("passes") * F.col("source_size") + F.col("inside_words")
-                         + F.aggregate("taken_more", F.lit(0).cast("long"), lambda total, d: total + d["words"]))
-             .drop("found", "held", "taken_more", "gap", "n_rows"))
-    return rows, common.written(stats, "mix-sources"), n_sources, cells
-
-
-def placed(rows: DataFrame, stats: DataFrame, n_sources: int) -> DataFrame:
+    targets = common.written(targets.join(gaps, SOURCE).withColumn("gap", F.col("extra_words") - F.col("inside_words")), "mix-inside")
+    outside = with_sources(rows, targets.select(SOURCE, "extra_words"), n_sources).filter(~inside)
+    fillers = common.written(filled(outside, targets, n_sources), "mix-fillers")
+    more = fillers.groupBy(SOURCE).agg(F.sum(SIZE).alias("filled_words"))
+    stats = (targets.join(more, SOURCE, "left")
+             .withColumn("source_taken", F.col("passes") * F.col("source_size") + F.col("inside_words") + F.coalesce("filled_words", F.lit(0)))
+             .drop("filled_words", "gap", "n_rows"))
+    return rows, common.written(stats, "mix-sources"), fillers.select(SOURCE, "up_to"), n_sources, cells
+
+
+def placed(rows: DataFrame, stats: DataFrame, fillers: DataFrame, n_sources: int) -> DataFrame:
     """``rows`` with copies, taken and positions (one per copy, from 0 to 1)."""
     size = F.col(SIZE)
-    filler = F.array_contains("fillers", F.col("up_to")) & (size > 0)
+    # A source's total up to a document names the document, if it has words.
+    rows = rows.join(bounded_broadcast(fillers.withColumn("__mix_filler", F.lit(True))), [SOURCE, "up_to"], "left")
+    filler = F.coalesce("__mix_filler", F.lit(False)) & (size > 0)
     inside = F.col("up_to") <= F.col("extra_words")
     copies = F.when(size > 0, F.col("passes") + (inside | filler).cast("long")).otherwise(0).cast("int")
     # Where the middle of copy k lies in the source's stream of taken words.
@@ -169,20 +196,22 @@ def assign(docs: DataFrame, weights=WEIGHTS, most_passes: int = 3, cell_rows: in
     """doc_id, size, source_size, target, taken, position_ppm (of the first
     copy, in millionths; null if none) for every row.  Null sources are one
     source, the last; repeated rows count each; no rows give no rows."""
-    rows, stats, n_sources, _ = plan(docs, weights, most_passes, cell_rows)
-    return placed(rows, stats, n_sources).select(
+    rows, stats, fillers, n_sources, _ = plan(docs, weights, most_passes, cell_rows)
+    return placed(rows, stats, fillers, n_sources).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col(SIZE).alias("size"), "source_size", "target", "taken",
         F.floor(F.get("positions", F.lit(0)) * 1_000_000).cast("long").alias("position_ppm"))
 
 
 def training_order(docs: DataFrame, weights=WEIGHTS, most_passes: int = 3, cell_rows: int = 5000) -> DataFrame:
     """The mixed corpus: ``docs`` with one row per copy, sorted by training
-    position over range partitions; columns as given."""
+    position over range partitions; columns as given, whatever their names.
+    Null ids, sources and repeated rows as in ``assign``; texts without words
+    have no copy; no rows give no rows."""
     names = docs.columns
-    _, stats, n_sources, cells = plan(docs, weights, most_passes, cell_rows)
+    _, stats, fillers, n_sources, cells = plan(docs, weights, most_passes, cell_rows)
     whole = F.struct(*[F.col(c) for c in names]).alias("__mix_row")
-    rows = sized(docs).select(SOURCE, SIZE, ORDER, "doc_id", whole)
-    copies = placed(running(rows, cells), stats, n_sources).select("__mix_row", F.explode("positions").alias("__mix_position"))
+    rows = sized(docs.select("doc_id", "text", "source", whole)).drop("text", "source")
+    copies = placed(running(rows, cells), stats, fillers, n_sources).select("__mix_row", F.explode("positions").alias("__mix_position"))
     return copies.repartitionByRange("__mix_position").sortWithinPartitions("__mix_position").select("__mix_row.*")
 
 
@@ -213,25 +242,21 @@ inside AS (
 gaps AS (
   SELECT *, extra_words - inside_words AS gap FROM inside),
 outside AS (
-  SELECT source, gap, size, up_to, row_number() OVER (
-    PARTITION BY source, length(bin(size)) * 8 + (size >> greatest(length(bin(size)) - 3, 0)) ORDER BY up_to) AS nth
-  FROM gaps WHERE NOT is_inside AND size > 0 AND size < 2 * gap),
-found AS (
-  SELECT source, gap, size, up_to, row_number() OVER (PARTITION BY source ORDER BY size DESC, up_to) AS k FROM outside WHERE nth = 1),
+  SELECT source, gap, size, up_to FROM gaps WHERE NOT is_inside AND size > 0),
 fill AS (
-  SELECT source, CAST(0 AS BIGINT) AS k, CAST(max(gap) AS DOUBLE) AS gap, CAST(NULL AS BIGINT) AS up_to, false AS fits FROM found GROUP BY source
+  SELECT source, CAST(max(gap) AS DOUBLE) AS gap, CAST(0 AS BIGINT) AS up_to FROM gaps GROUP BY source
   UNION ALL
-  SELECT f.source, f.k, CASE WHEN f.size <= g.gap THEN g.gap - f.size ELSE g.gap END, f.up_to, f.size <= g.gap
-  FROM fill g JOIN found f ON f.source IS NOT DISTINCT FROM g.source AND f.k = g.k + 1),
-filled AS (
-  SELECT source, arg_max(gap, k) AS gap FROM fill GROUP BY source),
+  SELECT f.source, arg_min(f.gap - o.size, o.up_to), min(o.up_to)
+  FROM fill f JOIN outside o ON o.source IS NOT DISTINCT FROM f.source AND o.up_to > f.up_to AND o.size <= f.gap GROUP BY f.source),
+rest AS (
+  SELECT source, arg_max(gap, up_to) AS gap FROM fill GROUP BY source),
 closing AS (
-  SELECT f.source, f.up_to, row_number() OVER (PARTITION BY f.source ORDER BY abs(f.size - e.gap), f.up_to) AS nth
-  FROM found f JOIN filled e ON f.source IS NOT DISTINCT FROM e.source
-  JOIN fill g ON g.source IS NOT DISTINCT FROM f.source AND g.k = f.k
-  WHERE NOT g.fits AND abs(f.size - e.gap) < e.gap),
+  SELECT o.source, o.up_to, row_number() OVER (PARTITION BY o.source ORDER BY o.size, o.up_to) AS nth
+  FROM outside o JOIN rest e ON o.source IS NOT DISTINCT FROM e.source
+  LEFT JOIN fill g ON g.source IS NOT DISTINCT FROM o.source AND g.up_to = o.up_to
+  WHERE g.up_to IS NULL AND o.size > e.gap AND o.size < 2 * e.gap),
 extra AS (
-  SELECT source, up_to FROM fill WHERE fits UNION ALL SELECT source, up_to FROM closing WHERE nth = 1),
+  SELECT source, up_to FROM fill WHERE up_to > 0 UNION ALL SELECT source, up_to FROM closing WHERE nth = 1),
 fillers AS (
   SELECT g.*, size > 0 AND e.up_to IS NOT NULL AS is_filler
   FROM gaps g LEFT JOIN extra e ON g.source IS NOT DISTINCT FROM e.source AND g.up_to = e.up_to AND size > 0),
