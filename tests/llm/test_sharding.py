@@ -74,3 +74,17 @@ def test_versions_are_kept(spark, tmp_path):
     sharding.write_map(spark, [0, 0, 2], 2, str(tmp_path))
     maps = [[r.shard for r in sharding.read_map(spark, str(tmp_path), v).orderBy("virtual_slot").collect()] for v in (1, 2)]
     assert maps == [[0, 1, 2], [0, 0, 2]]
+
+
+def test_repeated_rows_spread(spark):
+    """Half of all rows equal each other in id and text."""
+    rows = [(None, "same text " * 100)] * 4000 + [(k, "x" * 900) for k in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sharding.shard_documents(docs, cell_rows=100).collect()
+    load = check(rows, got)
+    assert max(load) - min(load) <= 0.03 * sum(load) / 24
+    again = sharding.shard_documents(docs.repartition(7), cell_rows=100).collect()
+    key = lambda r: (r.shard, r.slot, r.doc_id is None, r.doc_id, r.text_crc32)
+    assert Counter(map(key, got)) == Counter(map(key, again))
+    blocks = sharding.with_slots(docs, block=7).groupBy("doc_id").agg({"ordinal": "max", "*": "count"}).collect()
+    assert {tuple(r) for r in blocks if r.doc_id is None} in ({(None, 3999, 4000)}, {(None, 4000, 3999)})

@@ -101,14 +101,20 @@ def read_map(spark, folder: str, version: int) -> DataFrame:
     return spark.read.schema("virtual_slot int, shard int").parquet(f"{folder}/version={version}")
 
 
-def with_slots(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """doc_id, size, text_crc32, virtual_slot of the records.  The hash takes
-    the id and the text: neither many null ids nor many copies of one text
-    fill a single slot.  A null text has no bytes (crc32 0)."""
+def with_slots(docs: DataFrame, slots: int = SLOTS, block: int = 10_000) -> DataFrame:
+    """doc_id, size, text_crc32, ordinal, virtual_slot of the records.
+
+    Equal rows are counted and numbered again from 0 (which of them has which
+    number makes no difference), a block at a time, and the hash takes the id,
+    the text and that number: neither null ids, nor copies of one text, nor
+    repeats of a whole row fill a single slot.  A null text has no bytes."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), size_column(F.col("text")).alias("size"),
-                       F.crc32(text.cast("binary")).alias("text_crc32"),
-                       F.pmod(F.xxhash64("doc_id", text), F.lit(slots)).cast("int").alias("virtual_slot"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), size_column(F.col("text")).alias("size"),
+                       F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("spelt"))
+    counted = rows.groupBy("doc_id", "size", "text_crc32", "spelt").agg(F.count("*").alias("n"))
+    blocks = counted.withColumn("first", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(block))))
+    each = blocks.withColumn("ordinal", F.explode(F.sequence(F.col("first"), F.least(F.col("first") + block, F.col("n")) - 1)))
+    return each.select("doc_id", "size", "text_crc32", "ordinal", F.pmod(F.xxhash64("doc_id", "spelt", "ordinal"), F.lit(slots)).cast("int").alias("virtual_slot"))
 
 
 def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS, cell_rows: int = 20_000) -> DataFrame:
@@ -118,7 +124,7 @@ def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS, cell_
     Null ids and texts, repeated rows and ties are all kept, each with its own
     place; an empty table gives no rows.  Extra columns are ignored."""
     spark = docs.sparkSession
-    records = with_slots(docs, slots)
+    records = common.written(with_slots(docs, slots), "slot-records")
     per_slot = [(r.virtual_slot, r.rows, r.bytes) for r in slot_bytes(records, slots).collect()]  # at most ``slots`` rows
     bytes_of = [0] * slots
     for slot, _, total in per_slot:
@@ -131,7 +137,7 @@ def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS, cell_
     # the cells' totals are summed up per shard.
     parts = max(1, -(-max((rows for _, rows, _ in per_slot), default=0) // cell_rows))
     placed = (records.join(F.broadcast(read_map(spark, folder, 2)), "virtual_slot")  # ``slots`` rows
-              .withColumn("cell", F.pmod(F.xxhash64("text_crc32", "doc_id", "size"), F.lit(parts)).cast("int")))
+              .withColumn("cell", F.pmod(F.xxhash64("text_crc32", "doc_id", "size", "ordinal"), F.lit(parts)).cast("int")))
     cells = placed.groupBy("shard", "virtual_slot", "cell").agg(F.count("*").alias("rows"))
     up_to = Window.partitionBy("shard").orderBy("virtual_slot", "cell")
     before = cells.select("virtual_slot", "cell", (F.sum("rows").over(up_to) - F.col("rows")).alias("before"))
