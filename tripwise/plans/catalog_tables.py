@@ -1,8 +1,8 @@
 """Queries that apply one operator to every table it is meant for.
 
 Each returns the tables' contents as a tagged union: TABLE_NAME and CONTENT,
-the text of a row's non-floating columns, so that a wrong table, column, cast
-or row shows, not only a wrong count.
+the text of a row's columns (doubles to six decimals), so that a wrong table,
+column, cast or row shows, not only a wrong count.
 """
 
 from __future__ import annotations
@@ -42,19 +42,27 @@ def _fixture_columns(name: str) -> list[str]:
     return [c for c in (e.rsplit(" AS ", 1)[1].strip('`" ') for e in fx.fixture_exprs(name, "duckdb")) if c not in dropped]
 
 
-def _content(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit(NONE)) for c in columns]
-    return df.select(F.lit(table).alias("TABLE_NAME"), F.concat_ws("|", *parts).alias("CONTENT"))
+def _doubles(source: str) -> set[str]:
+    """The double columns of a fixture or typed table."""
+    table = next((t for t, s in SOURCE.items() if s == source), source)
+    return {c for c, kind in _kinds(table).items() if kind == "double"} if table in RAW_SCHEMAS else set()
+
+
+def _content(df: DataFrame, table: str, columns: list[str], source: str | None = None) -> DataFrame:
+    doubles = _doubles(source or table)
+    text = lambda c: F.col(c).cast("decimal(24,6)").cast("string") if c in doubles else F.col(c).cast("string")
+    return df.select(F.lit(table).alias("TABLE_NAME"), F.concat_ws("|", *[F.coalesce(text(c), F.lit(NONE)) for c in columns]).alias("CONTENT"))
 
 
 def _content_sql(table: str, source: str, columns: list[str], where: str = "") -> str:
-    have = set(_fixture_columns(source))
-    parts = ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '{NONE}')" if c in have else f"'{NONE}'" for c in columns)
+    have, doubles = set(_fixture_columns(source)), _doubles(source)
+    value = lambda c: f"CAST({c} AS DECIMAL(24,6))" if c in doubles else c
+    parts = ", ".join(f"COALESCE(CAST({value(c)} AS VARCHAR), '{NONE}')" if c in have else f"'{NONE}'" for c in columns)
     return f"SELECT '{table}' AS TABLE_NAME, concat_ws('|', {parts}) AS CONTENT FROM {source} {where}"
 
 
 def _columns(table: str) -> list[str]:
-    return [c for c, kind in _kinds(table).items() if kind != "double"]
+    return list(_kinds(table))
 
 
 def _union(frames) -> DataFrame:
@@ -125,9 +133,8 @@ def q_reset_all(spark, sf_dir):
 
 
 def _kept_columns(key: str) -> list[str]:
-    doubles = {c for kinds in map(_kinds, RAW_SCHEMAS) for c, kind in kinds.items() if kind == "double"}
     have = set(_fixture_columns(PRUNED[key]))
-    return [c for c in KEEP_COLUMNS[key] if c in have and c not in doubles]
+    return [c for c in KEEP_COLUMNS[key] if c in have]
 
 
 @register("prune_columns_all", _sql(KEEP_COLUMNS, source=PRUNED.get, columns=_kept_columns))
@@ -138,5 +145,5 @@ def q_prune_columns_all(spark, sf_dir):
         wide = t.raw(PRUNED[key]).withColumns({"UNWANTED": F.lit("x"), "PHOTO_FILE_ID": F.lit(1)})
         pruned = C.prune_columns(wide, key)
         assert "UNWANTED" not in pruned.columns and "PHOTO_FILE_ID" not in pruned.columns
-        out.append(_content(pruned, key, _kept_columns(key)))
+        out.append(_content(pruned, key, _kept_columns(key), PRUNED[key]))
     return _union(out)
