@@ -162,3 +162,35 @@ def write_bucketed(df: DataFrame, database: str, name: str, path: str, key: str,
     (df.hint("rebalance", buckets, key).write.mode("overwrite").format("parquet")
      .option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(full))
     return df.sparkSession.table(full)
+
+
+def reset_to_date(spark: SparkSession, table_root: str, date_column: str, cutoff: str, schema: T.StructType) -> None:
+    """Keep only rows dated before ``cutoff`` (ISO date), also inside a week.
+
+    Weeks that begin on or after it are dropped as folders.  The one week that
+    begins before and may reach beyond is rewritten: its rows before the date
+    are staged, and the staged folder takes the old one's place by renames.  A
+    run that died between them is repaired by the next one.  Rows of a dated
+    week whose own date is missing go with the cut-off, as in a filter."""
+    fs, _, jvm = file_system(spark, table_root)
+    path = jvm.org.apache.hadoop.fs.Path
+    replaced, staging = ".replaced-", ".staged-"  # hidden from readers
+    for name in [s.getPath().getName() for s in fs.listStatus(path(table_root))]:
+        if name.startswith(replaced):
+            old, place = path(f"{table_root}/{name}"), path(f"{table_root}/{name.removeprefix(replaced)}")
+            if fs.exists(place):
+                fs.delete(old, True)
+            else:
+                fs.rename(old, place)
+    drop_from_week(spark, table_root, cutoff)
+    weeks = [w for w in list_weeks(spark, table_root) if len(w) == 10 and w < cutoff]
+    if not weeks:
+        return
+    folder = f"{WEEK}={max(weeks)}"
+    rows = spark.read.schema(schema).parquet(f"{table_root}/{folder}").filter(F.col(date_column) < F.to_date(F.lit(cutoff)))
+    staged = f"{table_root}/{staging}{folder}"
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(staged)
+    old = path(f"{table_root}/{replaced}{folder}")
+    fs.rename(path(f"{table_root}/{folder}"), old)
+    fs.rename(path(staged), path(f"{table_root}/{folder}"))
+    fs.delete(old, True)
