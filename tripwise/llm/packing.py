@@ -271,7 +271,11 @@ def sequences(pieces: DataFrame, places: DataFrame) -> DataFrame:
 
 def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = 4096) -> DataFrame:
     """Digest of the packing of ``docs``: doc_id, piece, start, length,
-    ids_crc32, sequence_id, offset."""
+    ids_crc32, sequence_id, offset.
+
+    A null or empty text is its end id; a text longer than ``capacity`` tokens
+    is cut into pieces; null ids, ties and repeated rows are packed each on
+    their own; other columns are not looked at; no rows give no pieces."""
     pieces = common.written(token_pieces(docs, vocabulary, capacity), "pieces")
     places = pack(pieces, capacity)
     return digests(pieces).join(places.hint("merge"), "uid").drop("uid")

@@ -239,4 +239,8 @@ def answer(prefixes: DataFrame, limit: int) -> DataFrame:
 
 
 def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512) -> DataFrame:
+    """doc_id, n_bytes, n_tokens, over_limit of every row, answered from the
+    stored prefix counts.  A null text is empty; texts are counted whole; null
+    ids stay null; repeated rows are answered each; other columns are not
+    looked at; an empty table gives no rows."""
     return answer(common.written(prefix_table(docs, vocabulary), "prefix-counts"), limit)

@@ -159,12 +159,16 @@ def overlaps(entries: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, policy: Policy = POLICIES[CURRENT]) -> DataFrame:
-    """The policy's verdict on every row, from a written ledger."""
+    """The policy's verdict on every row, from a written ledger.  A null or
+    empty text has no words and fails; texts are measured whole; null ids and
+    repeated rows are judged each on their own; other columns are not looked
+    at; an empty table gives no rows."""
     return apply_policy(written(ledger(docs), "quality-ledger"), policy)
 
 
 def keep(docs: DataFrame, policy: Policy = POLICIES[CURRENT]) -> DataFrame:
-    """The rows of ``docs`` that the policy keeps, all columns unchanged."""
+    """The rows of ``docs`` that the policy keeps, all columns unchanged;
+    rows are judged as in ``judge``, repeated ones stay repeated."""
     bits = "__quality_failed"
     marked = docs.withColumn("__quality_m", measured(F.col("text"))).withColumn(bits, failure_bits("__quality_m"))
     return marked.filter((F.col(bits).bitwiseAND(F.lit(BASE)) == 0) & ~policy.rejects(F.col(bits))).select(*docs.columns)

@@ -126,7 +126,11 @@ def read_token_files(manifest: DataFrame, folder: str, partitions: int | None =
 
 
 def token_files(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """Write and read back: the digest of every document's ids."""
+    """Write and read back: the digest of every document's ids.
+
+    A null text is empty (the end id alone), texts of any length are taken
+    whole; null ids sort first and stay null; repeated rows are an entry each;
+    other columns are not looked at; an empty table gives no rows."""
     folder = scratch_path(docs.sparkSession, "token-files")
     manifest = common.written(write_token_files(docs, f"{folder}/data", vocabulary), "token-manifest")
     return read_token_files(manifest, f"{folder}/data")

@@ -313,7 +313,13 @@ def score_inputs(offsets: np.ndarray, p: np.ndarray) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     """Fit on ``documents`` and ``labels``.  Without rows of both labels the
-    model knows nothing and scores every text alike."""
+    model knows nothing and scores every text alike.
+
+    Null texts are empty; rows without an id or a label are not learnt from; a
+    document labelled more than once is toxic if one label says so; repeated
+    rows and near copies count once, by weight; other columns are not looked at.
+    The word list takes features of t >= 2.5, at most LEXICON of them, and the
+    chain about ``sample_docs`` documents of each label."""
     common.bounded_batches(docs.sparkSession)
     rows = common.written(weighted(training_rows(docs, labels)), "toxic-training")
     sizes = {r.toxic: r.n for r in rows.groupBy("toxic").agg((F.sum("weight") / float(UNIT)).alias("n")).collect()}  # two labels
@@ -413,7 +419,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def judge(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, score, predicted, spans of every row."""
+    """doc_id, held_out, score, predicted, spans of every row.  A null or
+    empty text has a score too; texts are read whole; null ids are not held
+    out; repeated rows are scored each; an empty table gives no rows."""
     found = score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
     return found.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), F.col("toxic_score").alias("score"),
                         (F.col("toxic_score") >= THRESHOLD).cast("int").alias("predicted"), F.col("toxic_spans").alias("spans"))

@@ -217,6 +217,10 @@ def _rows(rows, schema):
 
 
 def archived(pages: DataFrame) -> DataFrame:
-    """Write the archives into the shared folder and read them back."""
+    """Write the archives into the shared folder and read them back, a row
+    for every page.  A null html is empty; payloads are taken whole; of equal
+    payloads the smallest page_id is the response, null ids come last; repeated
+    rows are a record each; other columns are not looked at; an empty table
+    gives no rows."""
     folder = f"{scratch_path(pages.sparkSession, 'web-archives')}/data"
     return read_archives(common.written(write_archives(pages, folder), "archive-manifest"), folder)
