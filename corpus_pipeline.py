@@ -1,6 +1,8 @@
 """A training corpus from the table ``documents``: quality rules, toxicity,
 near-duplicates, mixing to target weights, packing.
 
+An empty table goes through all stages and gives no pieces.
+
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next stage's docs.  All but the last return
 the columns of ``documents``; the last returns the packed pieces.
@@ -17,32 +19,38 @@ from tripwise.session import apply_sql_conf
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the current quality policy keeps."""
+    """Documents that the current quality policy keeps: null and empty texts
+    go, repeated rows are judged each, other columns stay as they are."""
     apply_sql_conf(spark)
     return quality.keep(docs)
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents not predicted toxic; the model learns from the tables."""
+    """Documents not predicted toxic; the model learns from the tables.  Null
+    texts and ids are scored like any, repeated rows each; without labels every
+    document stays."""
     apply_sql_conf(spark)
     model = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return toxicity.keep(docs, model)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component."""
+    """One document of each near-duplicate component, the one of the smallest
+    doc_id (null ids last); of equal rows one; rows without words all stay."""
     apply_sql_conf(spark)
     return neardup.keep(docs)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per copy that the mix takes, in training order."""
+    """One row per copy that the mix takes, in training order; null sources
+    are one source, texts without words are not taken."""
     apply_sql_conf(spark)
     return mixing.training_order(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all rows in sequences of at most 4096 tokens."""
+    """Pieces of all rows in sequences of at most 4096 tokens; a null text is
+    its end id, repeated rows are packed each."""
     apply_sql_conf(spark)
     return packing.pack_documents(docs, vocabulary("word_bpe_49k.json"))
 
