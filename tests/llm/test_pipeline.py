@@ -82,3 +82,31 @@ def test_empty_input(spark, sf_dir, steps):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
         assert docs.collect() == []
+
+
+def test_edge_rows(spark, sf_dir, steps):
+    """Nulls, empty and long texts, repeats, ties and clashing names, through
+    each stage on its own and all in turn."""
+    a, b, c = [t for t, in steps[3].select("text").distinct().orderBy("text").limit(3).collect()]
+    near = " ".join(a.split()[:-1] + ["changed"]) if len(a.split()) > 60 else a + " "
+    long = " ".join(f"{w}{k % 7}" for k, w in enumerate((a + " " + b + " " + c).split() * 40))
+    rows = [(1, a, "x"), (1, a, "x"), (2, near, None), (None, b, "x"), (None, b, "x"), (3, None, "y"), (4, "", None), (5, long, "y"), (None, None, None), (6, c, "z"), (7, c, "z")]
+    extra = "row string, key long, cid string, label int, text_hash string, `_0` string, up_to int, `__mix_source` string, uid long"
+    wide = [(d, t, "en", s, 1, "r", 1, "c", 2, "h", "z", 3, "m", 4) for d, t, s in rows]
+    docs = spark.createDataFrame(wide, "doc_id long, text string, lang string, source string, n_chars long, " + extra)
+    given = Counter((r.doc_id, r.text) for r in docs.collect())
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, sf_dir)
+        found = out.collect()
+        assert out.columns == docs.columns and {(r.doc_id, r.text) for r in found} <= set(given), name
+        assert all(tuple(r)[5:] == wide[0][5:] for r in found), name
+        if name in ("quality rules", "toxicity"):
+            assert not Counter((r.doc_id, r.text) for r in found) - given, name
+        if name == "near-duplicates":
+            worded = sorted((r.doc_id is None, r.doc_id or 0, (r.text or "")[:20]) for r in found if (r.text or "").strip())
+            assert worded == sorted([(False, 1, a[:20]), (True, 0, b[:20]), (False, 5, long[:20]), (False, 6, c[:20])])
+    pieces = corpus_pipeline.STAGES[4][1](spark, docs, sf_dir).collect()
+    check_packing([(d, t) for d, t, _ in rows], pieces, 4096)
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = written(stage(spark, docs, sf_dir), f"test-edge-{number}")
+    assert docs.columns[:3] == ["doc_id", "piece", "start"]
