@@ -1,6 +1,9 @@
 """A key holding a third of all rows: results stay whole and the shuffled
 join is split by adaptive skew handling instead of landing in one task."""
 
+from datetime import date
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
 from tripwise import fixtures as fx
@@ -97,6 +100,28 @@ def test_activity_totals_with_key_hot_on_both_sides(spark):
     assert sum(v[0] for v in want.values()) > len(visits) + len(pays)   # pairs, not rows
 
 
+def test_fractional_sums_do_not_depend_on_row_order(spark):
+    """Amounts whose double sums differ by order: every order and number of
+    partitions gives the exact total, cast once."""
+    amounts = [0.1, 1e12, -1e12 + 0.7, 0.2, 3.3, 1e9 + 0.05, 0.3] * 40 + [None]
+    total = float(sum(Decimal(repr(a)) for a in amounts if a is not None))
+    assert sum(a for a in amounts if a is not None) != total
+    schema = "TRAVEL_ID string, VISIT_AREA_ID bigint, ACTIVITY_TYPE_CD bigint, PAYMENT_AMT_WON double, PAYMENT_DT_YMD date"
+    day = date(2023, 1, 4)
+    codes = spark.createDataFrame([("ACT", "1", "walk")], "CD_A string, CD_B string, CD_NM string")
+    visit_p = spark.createDataFrame([("1", k, "서울 중구", "서울", "중구") for k in range(7)],
+                                    "TRAVEL_ID string, VISIT_AREA_ID bigint, SIDO_SGG string, SIDO string, SGG string")
+    none = spark.createDataFrame([], schema)
+    for turn, parts in ((0, 1), (1, 3), (2, 8)):
+        rows = [("1", k % 7, 1, a, day) for k, a in enumerate(amounts)]
+        rows = [rows, rows[::-1], sorted(rows, key=lambda r: r[3] or 0)][turn]
+        paid = spark.createDataFrame(rows, schema).repartition(parts)
+        [region] = M.activity_by_region(visit_p, paid, codes).collect()
+        assert (region.ACTIVITY_COUNT, region.TOTAL_CONSUMPTION, region.TOTAL_PAYMENT_COUNT) == (281, total, 280)
+        [week] = M.weekly_spending(none, none.select("PAYMENT_AMT_WON", "PAYMENT_DT_YMD"), paid).collect()
+        assert (week.CATEGORY, week.TOTAL_SPENDING, week.SPENDING_SHARE) == ("ACTIVITY", total, 1.0)
+
+
 def test_job_frequency_with_repeated_and_hot_traveller(spark):
     """A traveller listed many times in the master table and owning most
     travels: the distinct travel count per job equals a brute-force count."""

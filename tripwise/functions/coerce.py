@@ -29,6 +29,19 @@ def split_range(c: Column, sep: str = "~") -> tuple[Column, Column]:
     return start, end
 
 
+#: Amounts are summed with so many digits.
+EXACT = "decimal(24,6)"
+
+
+def exact_sum(value: str | Column) -> Column:
+    """A sum that is the same in any order of rows and under any cut into
+    parts: six decimals are kept.  A value that is not finite, or has more
+    than 18 digits before the point, counts as missing.  It stays a decimal;
+    cast it once, after the last addition."""
+    c = F.col(value) if isinstance(value, str) else value
+    return F.sum(c.try_cast(EXACT))
+
+
 def human_size(nbytes: Column) -> Column:
     kb, mb, gb = 1024, 1024 ** 2, 1024 ** 3
     return (F.when(nbytes < kb, F.format_string("%d Bytes", nbytes))

@@ -444,6 +444,14 @@ def q_seed_processed(spark, sf_dir):
     return P.seed_processed(Tables(spark, sf_dir).raw("visit_area_info"), "visit_area_info", CUTOFF)
 
 
+@register("seed_processed_lodge", with_ctes(
+    f"SELECT *, CAST(NULL AS VARCHAR) AS SIDO, CAST(NULL AS VARCHAR) AS SGG, "
+    f"CAST(NULL AS VARCHAR) AS SIDO_SGG FROM lodge_consume WHERE {CUTOFF_COLUMN['lodge_consume']} < DATE '{CUTOFF}'",
+    "lodge_consume"))
+def q_seed_processed_lodge(spark, sf_dir):
+    return P.seed_processed(Tables(spark, sf_dir).raw("lodge_consume"), "lodge_consume", CUTOFF)
+
+
 @register("code_tables_capital", with_ctes("SELECT * FROM codeb_distinct", "codeb_distinct"))
 def q_code_tables_capital(spark, sf_dir):
     return P.codeb_capital(Tables(spark, sf_dir).raw("meta_codeb"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import activity_label, iso_code, numeric_code
+from ..functions.coerce import exact_sum
 from ..functions.dates import as_date, iso_week_start, lenient_date, month_start
 from ..operators.joins import bounded_broadcast
 from ..schemas import CODE_ACTIVITY, CODE_JOB, CODE_LODGING
@@ -78,13 +79,16 @@ def activity_by_region(visit_p: DataFrame, activity: DataFrame, codes: DataFrame
     aggregation collapses a hot key before any shuffle.  Each visit row
     then meets at most one row per activity name, so a key that is hot on
     both sides never multiplies into |visits| x |payments| pairs; the pair
-    totals are recovered as sums of (visit rows x payment totals)."""
+    totals are recovered as sums of (visit rows x payment totals).
+
+    Amounts are added as decimals and cast once at the end, so neither the
+    order of rows nor the partitions change a total."""
     acts = _numeric_codes(codes, CODE_ACTIVITY)
     paid = (activity.select("TRAVEL_ID", "VISIT_AREA_ID", "ACTIVITY_TYPE_CD", "PAYMENT_AMT_WON")
             .join(acts, F.col("ACTIVITY_TYPE_CD").cast("double") == F.col("CODE_KEY"))
             .groupBy("TRAVEL_ID", "VISIT_AREA_ID", "CD_NM")
             .agg(F.count(F.lit(1)).alias("N_ROWS"),
-                 F.sum("PAYMENT_AMT_WON").alias("AMT_SUM"),
+                 exact_sum("PAYMENT_AMT_WON").alias("AMT_SUM"),
                  F.count("PAYMENT_AMT_WON").alias("N_PAID")))
     places = (visit_p.filter(F.col("SIDO").isNotNull())
               .select("TRAVEL_ID", "VISIT_AREA_ID", "SIDO_SGG", "SIDO", "SGG"))
@@ -92,7 +96,7 @@ def activity_by_region(visit_p: DataFrame, activity: DataFrame, codes: DataFrame
             .groupBy(F.col("SIDO_SGG").alias("REGION"), "SIDO", "SGG",
                      F.col("CD_NM").alias("ACTIVITY_TYPE"))
             .agg(F.sum("N_ROWS").alias("ACTIVITY_COUNT"),
-                 F.sum("AMT_SUM").alias("TOTAL_CONSUMPTION"),
+                 F.sum("AMT_SUM").cast("double").alias("TOTAL_CONSUMPTION"),
                  F.sum("N_PAID").alias("TOTAL_PAYMENT_COUNT")))
 
 
@@ -134,19 +138,22 @@ def lodging_cost(lodge_p: DataFrame, codes: DataFrame) -> DataFrame:
 def _weekly_total(df: DataFrame, category: str) -> DataFrame:
     return (df.filter(F.col("PAYMENT_DT_YMD").isNotNull())
             .groupBy(iso_week_start(as_date(df, "PAYMENT_DT_YMD")).alias("WEEK_START_DATE"))
-            .agg(F.sum(F.col("PAYMENT_AMT_WON").cast("double")).alias("TOTAL_SPENDING"))
+            .agg(exact_sum("PAYMENT_AMT_WON").alias("TOTAL_SPENDING"))
             .select("WEEK_START_DATE", F.lit(category).alias("CATEGORY"), "TOTAL_SPENDING"))
 
 
 def weekly_spending(mvmn: DataFrame, lodge_raw: DataFrame, activity: DataFrame) -> DataFrame:
     """Monday-week spend per category and its share of the week's total.
     Each source is reduced to one row per week before the union, so the
-    window only sees (#weeks x 3) rows."""
+    window only sees (#weeks x 3) rows.  Totals stay decimals until the
+    last addition, so no order of rows changes a share."""
     trend = (_weekly_total(mvmn, "MOVEMENT")
              .unionByName(_weekly_total(lodge_raw, "LODGING"))
              .unionByName(_weekly_total(activity, "ACTIVITY")))
     week_total = F.sum("TOTAL_SPENDING").over(Window.partitionBy("WEEK_START_DATE"))
-    return (trend.withColumn("SPENDING_SHARE", F.try_divide(F.col("TOTAL_SPENDING"), week_total))
+    total = F.col("TOTAL_SPENDING").cast("double")
+    return (trend.select("WEEK_START_DATE", "CATEGORY", total.alias("TOTAL_SPENDING"),
+                         F.try_divide(total, week_total.cast("double")).alias("SPENDING_SHARE"))
             .orderBy("WEEK_START_DATE", "CATEGORY"))
 
 

@@ -18,10 +18,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.coerce import exact_sum
 from ..operators.joins import bounded_broadcast
 from ..schemas import CODE_ACTIVITY, CODE_LODGING
 from ..sources.sinks import WEEK, list_weeks
@@ -29,15 +30,6 @@ from ..streaming.incremental import drop_weeks, weeks_with_rows
 from .marts import _numeric_codes
 from .processed import code_lookup
 
-EXACT = "decimal(24,6)"
-
-
-def exact_sum(value) -> Column:
-    """A sum that is the same in any order: six decimals are kept; a value
-    that is not finite counts as missing."""
-    return F.sum(F.col(value).try_cast(EXACT))
-
-
 @dataclass(frozen=True)
 class Partial:
     """A state: its source table, group columns and sums."""
