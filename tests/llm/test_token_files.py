@@ -74,3 +74,14 @@ def test_repeats_compress():
 def test_tiny(n):
     shard = Shard(encode_shard(np.arange(n, dtype=np.uint32), np.arange(1), np.zeros(1), np.array([n])))
     assert shard.decode().tolist() == list(range(n))
+
+
+def test_production_settings_make_rules(spark, sf_dir):
+    """The default threshold must pay on given texts, not only on made-up repeats."""
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").select("text").collect()]
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    ids = np.concatenate([tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]).astype(np.uint32)[:60_000]
+    shard = Shard(encode_shard(ids, np.arange(1), np.zeros(1), np.array([len(ids)])))
+    assert len(shard.left) > 100
+    assert 2 * len(shard.symbols) + 16 * len(shard.left) < 2 * len(ids)
+    assert shard.decode().tolist() == ids.tolist()

@@ -29,9 +29,12 @@ HEAD = "<4sBIIQQI"
 MAGIC = b"RPT1"
 SAMPLE = 256
 HASH_BITS = 20
+#: A rule takes 16 bytes and a replaced pair saves 2, so eight uses pay for a
+#: rule; twice that leaves out rules that gain next to nothing.
+MIN_COUNT = 16
 
 
-def grammar(ids: np.ndarray, min_count: int = 48, spread: int = 4):
+def grammar(ids: np.ndarray, min_count: int = MIN_COUNT, spread: int = 4):
     """(symbols, first nonterminal, left[], right[]) of the ids."""
     seq = ids.astype(np.uint32)
     first = int(seq.max()) + 1 if len(seq) else 0
@@ -81,7 +84,7 @@ def expansions(first: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def encode_shard(ids: np.ndarray, doc_ids: np.ndarray, doc_nulls: np.ndarray,
-                 doc_tokens: np.ndarray, min_count: int = 48) -> bytes:
+                 doc_tokens: np.ndarray, min_count: int = MIN_COUNT) -> bytes:
     symbols, first, left, right = grammar(ids, min_count)
     lengths = expansions(first, left, right)
     width = 2 if first + len(left) <= 1 << 16 else 4

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tripwise.session import scratch_path
 
 from . import common
-from .repair import Shard, encode_shard
+from .repair import MIN_COUNT, Shard, encode_shard
 from .tokens import encode_with_end
 
 MANIFEST = "part int, seq int, file string, offset long, length long, part_start long, n_tokens long, n_docs int"
@@ -29,7 +29,7 @@ DOCUMENTS = "part int, doc_id long, local_start long, n_tokens long, ids_crc32 l
 
 
 def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 1,
-                      shard_tokens: int = 1_000_000, min_count: int = 96,
+                      shard_tokens: int = 1_000_000, min_count: int = MIN_COUNT,
                       partitions: int | None = None) -> DataFrame:
     """Write the ids of ``docs`` (doc_id, text; more columns are ignored) in
     ascending doc_id order into ``folder``; returns the manifest.
