@@ -328,9 +328,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
         return nothing
     lexicon = telling(common.written(feature_counts(rows), "toxic-features"), sizes[1], sizes[0])
     # About ``sample_docs`` of each label, by a hash; copies count by weight.
+    # Should the bound bite, both labels lose the rows last in hash order.
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(UNIT))
     bound = F.when(F.col("toxic") == 1, F.lit(sample_docs / sizes[1])).otherwise(F.lit(sample_docs / sizes[0])) * F.col("weight")
-    sample = rows.filter(draw < bound).select("text", "toxic").limit(4 * sample_docs).collect()
+    sample = (rows.filter(draw < bound).orderBy(draw / bound, "doc_id", "text").select("text", "toxic")
+              .limit(4 * sample_docs).collect())
     texts, toxic = pa.array([r.text for r in sample], pa.string()), np.array([r.toxic for r in sample], float)
     model = Model(lexicon, nothing.weights, nothing.chain, nothing.start, nothing.score)
     words, which, offsets = split_words(texts)
