@@ -28,13 +28,13 @@ from .tokens import gather
 HEAD = "<4sBIIQQI"
 MAGIC = b"RPT1"
 SAMPLE = 256
-HASH_BITS = 20
+HASH_BITS = 18
 #: A rule takes 16 bytes and a replaced pair saves 2, so eight uses pay for a
 #: rule; twice that leaves out rules that gain next to nothing.
 MIN_COUNT = 16
 
 
-def grammar(ids: np.ndarray, min_count: int = MIN_COUNT, spread: int = 4):
+def grammar(ids: np.ndarray, min_count: int = MIN_COUNT, spread: int = 8):
     """(symbols, first nonterminal, left[], right[]) of the ids."""
     seq = ids.astype(np.uint32)
     first = int(seq.max()) + 1 if len(seq) else 0
