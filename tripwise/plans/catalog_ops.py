@@ -307,14 +307,18 @@ SOURCE_FILES = [  # (dataset name, fixture table)
 
 def _source_listing(spark, sf_dir, suffix: str):
     """Write fixture tables under source-style dataset names and read them
-    back with the dataset name taken from the folder of each file."""
+    back: the rows of each file, with the dataset name taken from its folder.
+    Rows are counted by the stored path first and the counts written, so that
+    names are worked out once per file: a filter on a name would otherwise be
+    pushed below the count and spell the name of every row."""
     root = scratch_path(spark, "names")
     t = Tables(spark, sf_dir)
     for ds, table in SOURCE_FILES:
         t.raw(table).select(F.lit(1).alias("ONE")).write.parquet(f"{root}/{ds}{suffix}")
     df = spark.read.option("recursiveFileLookup", "true").parquet(root)
-    path = SC.decoded(F.col("_metadata.file_path"))
-    return df.select(F.regexp_extract(path, r"/([^/]+)/part-[^/]*$", 1).alias("SOURCE_NAME"))
+    files = df.groupBy(F.col("_metadata.file_path").alias(SC.FILE_PATH)).agg(F.count(F.lit(1)).alias("ROWS"))
+    files = W.materialize(files, f"{root}-files")
+    return files.select(F.regexp_extract(SC.decoded(F.col(SC.FILE_PATH)), r"/([^/]+)/part-[^/]*$", 1).alias("SOURCE_NAME"), "ROWS")
 
 
 def _listing_oracle(suffix: str, select: str, where: str = "") -> str:
@@ -331,7 +335,7 @@ _KEY_SQL = ("CASE WHEN strpos(array_to_string((string_split(SOURCE_NAME, '_'))[1
     "_980607.parquet", f"SOURCE_NAME, {_KEY_SQL} AS TABLE_KEY, COUNT(*) AS ROWS"))
 def q_resolve_table(spark, sf_dir):
     names = _source_listing(spark, sf_dir, "_980607.parquet")
-    return (names.groupBy("SOURCE_NAME").agg(F.count(F.lit(1)).alias("ROWS"))
+    return (names.groupBy("SOURCE_NAME").agg(F.sum("ROWS").alias("ROWS"))
             .withColumn("TABLE_KEY", C.table_key(F.col("SOURCE_NAME"))))
 
 
@@ -342,7 +346,7 @@ def q_skip_unused_tables(spark, sf_dir):
     names = _source_listing(spark, sf_dir, "_980607.parquet").withColumn(
         "TABLE_KEY", C.table_key(F.col("SOURCE_NAME")))
     return (names.filter(~C.is_unused_table(F.col("TABLE_KEY")))
-            .groupBy("TABLE_KEY").agg(F.count(F.lit(1)).alias("ROWS")))
+            .groupBy("TABLE_KEY").agg(F.sum("ROWS").alias("ROWS")))
 
 
 @register("canonical_name", _listing_oracle(
@@ -351,9 +355,9 @@ def q_skip_unused_tables(spark, sf_dir):
     + ", ".join(_q(c) for c in CANONICAL_DATASETS) + ")"))
 def q_canonical_name(spark, sf_dir):
     names = _source_listing(spark, sf_dir, "_combine")
-    return (names.select(K.canonical_name(F.col("SOURCE_NAME")).alias("CANONICAL"))
+    return (names.select(K.canonical_name(F.col("SOURCE_NAME")).alias("CANONICAL"), "ROWS")
             .filter(F.col("CANONICAL").isNotNull())
-            .groupBy("CANONICAL").agg(F.count(F.lit(1)).alias("ROWS")))
+            .groupBy("CANONICAL").agg(F.sum("ROWS").alias("ROWS")))
 
 
 _VISIT_COLS = [f.name for f in RAW_SCHEMAS["visit_area_info"].fields]
