@@ -178,7 +178,14 @@ def q_distinct_counts_merged(spark, sf_dir):
 # --------------------------------------------------------------------------
 def _inputs(t: Tables) -> dict[str, DataFrame]:
     names = ("travel", "traveller_master", "mvmn_consume", "activity_consume", "lodge_consume")
-    return {n: t.raw(n) for n in names} | {"processed_visit": t.processed_visit, "processed_lodge": t.processed_lodge, "codes": t.codes}
+    return {n: t.raw(n) for n in names} | {"codes": t.codes}
+
+
+def _processed(t: Tables, root: str) -> dict[str, DataFrame]:
+    """The processed tables as the processed step leaves them: written once,
+    so that no reader normalises the addresses again."""
+    return {"processed_visit": W.materialize(t.processed_visit, f"{root}/processed/visit_area_info"),
+            "processed_lodge": W.materialize(t.processed_lodge, f"{root}/processed/lodge_consume")}
 
 
 @register("published_marts", marts_sql(_REFRESH_SQL, {}))
@@ -187,7 +194,7 @@ def q_published_marts(spark, sf_dir):
     their table names."""
     root, t = scratch_path(spark, "published"), Tables(spark, sf_dir)
     database = f"tripwise_marts_{uuid.uuid4().hex[:8]}"
-    frames = W.mart_frames(spark, _inputs(t), f"{root}/tmp")
+    frames = W.mart_frames(spark, _inputs(t) | _processed(t, root), f"{root}/tmp")
     L.ensure_database(spark, database, f"{root}/database")
     try:
         PB.publish(spark, {name: df.limit(0) for name, df in frames.items()}, f"{root}/marts", database)

@@ -11,6 +11,7 @@ are submitted together.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,14 +25,23 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def together(jobs: list[Callable[[], object]], most: int = 4) -> list:
+    """Run independent jobs, ``most`` at a time: the scheduler packs the small
+    ones into the slots that the last tasks of large ones leave free.  A job
+    that fails raises here."""
+    with ThreadPoolExecutor(max_workers=max(1, min(most, len(jobs)))) as pool:
+        return [done.result() for done in [pool.submit(job) for job in jobs]]
+
+
 def mart_frames(spark: SparkSession, t: dict[str, DataFrame], scratch_root: str) -> dict[str, DataFrame]:
     """All fourteen marts by name.  ``t`` holds travel, traveller_master,
     mvmn_consume, activity_consume, lodge_consume (raw), processed_visit,
     processed_lodge, codes; shared intermediates are written below
     ``scratch_root``."""
-    rv = materialize(region_visit(t["travel"], t["processed_visit"]), f"{scratch_root}/region_visit")
-    act = materialize(M.activity_by_region(t["processed_visit"], t["activity_consume"], t["codes"]),
-                       f"{scratch_root}/activity_by_region")
+    rv, act = together([
+        lambda: materialize(region_visit(t["travel"], t["processed_visit"]), f"{scratch_root}/region_visit"),
+        lambda: materialize(M.activity_by_region(t["processed_visit"], t["activity_consume"], t["codes"]),
+                            f"{scratch_root}/activity_by_region")])
     spatial = M.spatial(t["processed_visit"])
     return {
         "cumulative_travel_stats": M.travel_stats(t["travel"]),
@@ -56,13 +66,5 @@ def refresh_analysis(spark: SparkSession, t: dict[str, DataFrame], out_root: str
     """Write every mart below ``out_root``; ``t`` as for ``mart_frames``."""
     marts = mart_frames(spark, t, scratch_root)
     paths = {name: f"{out_root}/{name}" for name in marts}
-    # The marts are independent jobs: submitted together, the scheduler packs
-    # the small ones into the slots the large ones leave free instead of the
-    # cluster idling through each job's last stages.  Any failed write
-    # raises here.
-    with ThreadPoolExecutor(max_workers=min(max_parallel_writes, len(marts))) as pool:
-        done = [pool.submit(df.write.mode("overwrite").parquet, paths[name])
-                for name, df in marts.items()]
-        for f in done:
-            f.result()
+    together([lambda name=name, df=df: df.write.mode("overwrite").parquet(paths[name]) for name, df in marts.items()], max_parallel_writes)
     return paths
