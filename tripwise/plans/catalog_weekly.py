@@ -137,8 +137,11 @@ def q_mart_partials_refresh(spark, sf_dir):
     root, t = scratch_path(spark, "partials"), Tables(spark, sf_dir)
     tables = {"lodge_consume": t.processed_lodge, "visit_area_info": t.processed_visit, "activity_consume": t.raw("activity_consume")}
     wrong = {"lodge_consume": "PAYMENT_AMT_WON", "visit_area_info": "DGSTFN", "activity_consume": "PAYMENT_AMT_WON"}
-    for table, df in tables.items():
-        rows = _batched(df, CUTOFF_COLUMN[table]).filter(F.col("week").isNotNull())
+
+    def deliver(table):
+        df = tables[table]
+        # Read three times below, so addresses are normalised once.
+        rows = W.materialize(_batched(df, CUTOFF_COLUMN[table]).filter(F.col("week").isNotNull()), f"{root}/rows/{table}")
         again = rows.agg(F.max(F.when(F.col("week") < CUTOFF, F.col("week")))).first()[0]
         first = rows.withColumn(wrong[table], F.when(F.col("week") == again, F.lit(0)).otherwise(F.col(wrong[table])).cast(df.schema[wrong[table]].dataType))
         path = SK.write_weekly(first, f"{root}/zone", table)
@@ -146,7 +149,9 @@ def q_mart_partials_refresh(spark, sf_dir):
         SK.write_weekly(rows.filter(F.col("week") == again), f"{root}/zone", table)
         dropped = SK.drop_from_week(spark, path, CUTOFF)
         PT.refresh_states(spark, table, path, [again, *dropped], f"{root}/states", df.schema)
-    return marts_content(PT.marts(spark, f"{root}/states", tables, t.codes))
+
+    W.together([lambda table=table: deliver(table) for table in tables])
+    return marts_content(PT.marts(spark, f"{root}/states", tables, t.codes, f"{root}/tmp"))
 
 
 # --------------------------------------------------------------------------

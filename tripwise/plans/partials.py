@@ -29,6 +29,7 @@ from ..sources.sinks import WEEK, list_weeks
 from ..streaming.incremental import drop_weeks, weeks_with_rows
 from .marts import _numeric_codes
 from .processed import code_lookup
+from .weekly import materialize
 
 @dataclass(frozen=True)
 class Partial:
@@ -148,11 +149,14 @@ def activity_by_region(visits: DataFrame, payments: DataFrame, codes: DataFrame)
                  F.sum(F.col("N_PAID") * F.col("VISITS")).alias("TOTAL_PAYMENT_COUNT")))
 
 
-def marts(spark: SparkSession, state_root: str, like: dict[str, DataFrame], codes: DataFrame) -> dict[str, DataFrame]:
+def marts(spark: SparkSession, state_root: str, like: dict[str, DataFrame], codes: DataFrame, scratch_root: str | None = None) -> dict[str, DataFrame]:
     """The four marts from the states; ``like`` has the three source tables'
-    schemas by name (no rows are read)."""
+    schemas by name (no rows are read).  With a ``scratch_root`` the join that
+    both activity marts share is written there and done once."""
     side = lambda name: merged(spark, name, state_root, like[PARTIALS[name].source])
     activity = activity_by_region(side("visits"), side("payments"), codes)
+    if scratch_root is not None:
+        activity = materialize(activity, f"{scratch_root}/activity_by_region")
     return {
         "lodging_type_distribution_with_cost": lodging_cost(side("lodging"), codes),
         "region_visitarea_analysis": satisfaction(side("satisfaction")),
