@@ -25,7 +25,7 @@ from ..streaming.incremental import append_week_changes, read_loaded
 from .pipeline import land_week
 from .processed import codeb_capital
 from .publish import get_file, publish, put_file
-from .weekly import mart_frames
+from .weekly import mart_frames, together
 
 #: Keep-list of each dated table.
 KEYS = {"activity_consume": "tn_activity_consume", "lodge_consume": "tn_lodge_consume", "move": "tn_move_his",
@@ -124,11 +124,14 @@ def typed_zone(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 def seed_zone(sources: dict[str, DataFrame], root: str, batch_of: Callable[[str], Column], before: str) -> None:
     """The initial zones: every table's rows dated before ``before`` landed,
     cleansed and typed at once, in load batches whose labels precede it (the
-    processed zone streams them later)."""
-    for table, column in CUTOFF_COLUMN.items():
+    processed zone streams them later).  The tables do not depend on each
+    other and are seeded side by side."""
+    def seed(table, column):
         rows = sources[table].filter(F.col(column) < F.to_date(F.lit(before))).withColumn(WEEK, batch_of(column))
         write_weekly(rows, f"{root}/raw", table)
         kept = cleanse(rows.drop(WEEK), KEYS[table]).withColumn(WEEK, batch_of(column))
         write_weekly(kept, f"{root}/clean", table)
         typed = align_schema(kept, RAW_SCHEMAS[table], keep_extra=True).select(*[f.name for f in RAW_SCHEMAS[table].fields], WEEK)
         write_typed_weeks(typed, f"{root}/typed/{table}")
+
+    together([lambda table=table, column=column: seed(table, column) for table, column in CUTOFF_COLUMN.items()])
