@@ -23,6 +23,7 @@ from ..streaming import incremental as INC
 from .catalog import Tables, register
 from .catalog_ops import _weekly, duck_week
 from .oracle import with_ctes
+from .weekly import together
 
 #: Fixture that stands for a table, where the names differ.
 SOURCE = {"meta_traveller_master": "traveller_master"}
@@ -79,15 +80,18 @@ DATED = list(CUTOFF_COLUMN)
 
 @register("bulk_load_all", _sql(RAW_SCHEMAS))
 def q_bulk_load_all(spark, sf_dir):
-    """All typed tables loaded from text files with other letter case."""
-    root, t, out = scratch_path(spark, "bulk-all"), Tables(spark, sf_dir), []
-    for table in RAW_SCHEMAS:
+    """All typed tables loaded from text files with other letter case.  The
+    tables do not depend on each other and are loaded side by side."""
+    root, t = scratch_path(spark, "bulk-all"), Tables(spark, sf_dir)
+
+    def load(table):
         raw = t.raw(SOURCE.get(table, table))
         text = raw.select(*[F.col(c).cast("string").alias(c.lower()) for c in raw.columns])
         text.write.parquet(f"{root}/raw/{table}")
         loaded = L.bulk_load(spark, f"{root}/raw", table, f"{root}/typed/{table}")
-        out.append(_content(loaded, table, _columns(table)))
-    return _union(out)
+        return _content(loaded, table, _columns(table))
+
+    return _union(together([lambda table=table: load(table) for table in RAW_SCHEMAS]))
 
 
 @register("weekly_append_all", _sql(DATED, lambda t: f"WHERE {CUTOFF_COLUMN[t]} <= DATE '{WEEK_END}'"))
