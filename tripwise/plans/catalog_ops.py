@@ -976,7 +976,8 @@ def q_bucketed_region_visit(spark, sf_dir):
     t = Tables(spark, sf_dir)
     db = L.ensure_database(spark, "tripwise_processed", scratch_path(spark, "processed-db"))
     tag = scratch_path(spark, "bucketed").rsplit("-", 1)[-1]
-    n = spark.sparkContext.defaultParallelism
+    # Both tables need the same number of buckets, so the larger one decides.
+    n = SK.bucket_count(spark, t.raw("travel").count(), t.raw("visit_area_info").count())
     travel = SK.write_bucketed(t.raw("travel"), db, f"travel_{tag}", scratch_path(spark, "b-travel"),
                                "TRAVEL_ID", n)
     visit = SK.write_bucketed(t.processed_visit, db, f"visit_area_info_{tag}",

@@ -19,6 +19,8 @@ YEAR = "year"
 # Upper bound of rows per output file: bounds task memory and output file
 # size whatever the skew of a week.
 MAX_RECORDS_PER_FILE = 2_000_000
+# Rows of a bucket of a bucketed table, in expectation.
+BUCKET_ROWS = 1_000_000
 
 
 def is_metadata_table(name: str) -> bool:
@@ -149,6 +151,13 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(hpath, True)) if fs.exists(hpath) else False
 
 
+def bucket_count(spark: SparkSession, *rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
+    """Buckets for tables of so many rows: one task reads (and one writes and
+    sorts) a whole bucket, so their number grows with the largest table and a
+    bucket does not; small tables get one bucket for each core."""
+    return max(spark.sparkContext.defaultParallelism, -(-max(rows) // bucket_rows))
+
+
 def write_bucketed(df: DataFrame, database: str, name: str, path: str, key: str,
                    buckets: int) -> DataFrame:
     """Catalog table hash-bucketed (and sorted) on ``key``.  Tables joined
