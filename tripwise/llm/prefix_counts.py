@@ -49,14 +49,20 @@ class PrefixCounter:
         self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.vocabulary = self.library.get_vocab(with_added_tokens=False)
         self.spelling = {i: t for t, i in self.vocabulary.items()}
-        self.longest = max(map(len, self.vocabulary))
+        #: Beginnings of tokens.  A state is one of them (the longest that the
+        #: spelling read so far ends in), with its moves by the next character
+        #: and the tokens it ends in, longest first.
+        self.beginnings = {t[:k] for t in self.vocabulary for k in range(len(t) + 1)}
+        self.numbers, self.states = {"": 0}, [""]
+        self.moves: list[dict[str, int]] = [{}]
+        self.endings: list[list[tuple[int, int]]] = [[]]
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.special_marks = {s[0] for s in special}
         self.limit = cache_words
         #: Spelling of the characters that plain words are made of.
         self.letters = {c: self.spell(chr(c)) for c in [32, *range(0xC0, 0x100)]}
-        self.previous: tuple[str, list[int], list[int]] = ("", [0], [-1])
+        self.previous: tuple[str, list[int], list[int], list[int]] = ("", [0], [-1], [0])
         self.pairs: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
         self.pieces: dict[str, list[int]] = {}
@@ -81,14 +87,29 @@ class PrefixCounter:
             ok = self.pairs[a, b] = len(both) == 2 and both[0].id == a and both[1].id == b
         return ok
 
+    def move(self, state: int, mark: str) -> int:
+        """The state after one more character, remembered."""
+        text = self.states[state] + mark
+        while text not in self.beginnings:
+            text = text[1:]
+        to = self.numbers.get(text)
+        if to is None:
+            to = self.numbers[text] = len(self.states)
+            self.states.append(text)
+            self.moves.append({})
+            found = ((self.vocabulary.get(text[k:]), len(text) - k) for k in range(len(text)))
+            self.endings.append([(token, size) for token, size in found if token is not None])
+        self.moves[state][mark] = to
+        return to
+
     def piece(self, spelt: str) -> list[int]:
         """Token counts of the byte prefixes 1, 2, ... of one piece."""
         counts = self.pieces.get(spelt)
         if counts is not None:
             return counts
-        vocabulary, longest, n = self.vocabulary, self.longest, len(spelt)
+        n = len(spelt)
         # What the piece solved before has in common with this one stands.
-        before, counts, last = self.previous
+        before, counts, last, path = self.previous
         same = 0
         for a, b in zip(before, spelt):
             if a != b:
@@ -96,11 +117,23 @@ class PrefixCounter:
             same += 1
         counts = counts[:same + 1] + [0] * (n - same)
         last = last[:same + 1] + [-1] * (n - same)
-        self.previous = (spelt, counts, last)
+        path = path[:same + 1]
+        self.previous = (spelt, counts, last, path)
+        state, moves, endings, pairs = path[same], self.moves, self.endings, self.pairs
         for i in range(same + 1, n + 1):
-            for j in range(max(0, i - longest), i):
-                token = vocabulary.get(spelt[j:i])
-                if token is not None and (self.compatible(last[j], token) if j else self.stands_alone(token)):
+            mark = spelt[i - 1]
+            to = moves[state].get(mark)
+            state = self.move(state, mark) if to is None else to
+            path.append(state)
+            for token, size in endings[state]:
+                j = i - size
+                if j:
+                    ok = pairs.get((last[j], token))
+                    if ok is None:
+                        ok = self.compatible(last[j], token)
+                else:
+                    ok = self.stands_alone(token)
+                if ok:
                     counts[i], last[i] = counts[j] + 1, token
                     break
         if len(self.pieces) >= self.limit:
