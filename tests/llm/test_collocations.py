@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from compare import duck_connect
@@ -99,3 +100,43 @@ def test_top(spark, sf_dir):
     want = duck_connect(sf_dir).sql(collocations.ORACLE.replace("rank <= 2000", "rank <= 40")).fetchall()
     got = collocations.best(docs, top=40).collect()
     assert sorted(map(tuple, got)) == sorted(want) and len(want) > 40
+
+
+def test_many_buckets_cost_no_more():
+    """A chunk asks with as many bytes however many buckets there are, and its
+    words are not sent along."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"word{k}" for k in rng.zipf(1.3, 3000)).encode() for _ in range(20)]
+    codes, vocabulary, pieces = collocations.words_of(texts)
+    row = collocations.packed(7, "en", codes, vocabulary, pieces).to_pylist()[0]
+    sent = []
+    for buckets in (1, 10, 5000):
+        names, n = collocations.Chunk(row, buckets).distinct()
+        asks = list(collocations.asks_of(7, names, n, "<u1", 255))
+        held = [b for b, *_ in asks]
+        assert held == sorted(set(held)) and held[-1] < buckets <= 5 * len(held)
+        sent.append(sum(len(x) + len(y) for _, _, x, y in asks))
+        assert sent[-1] == 5 * len(names)
+        assert n.sum() == sum(max(0, len(p) - k) for t in texts for p in pieces_of(t) for k in range(3))
+    assert max(sent) <= 1.001 * min(sent)
+
+
+def pieces_of(data):
+    return pieces(data.decode())
+
+
+def test_shared_names_add_up():
+    """Names of two chunks, and of two grams that fall together, are summed."""
+    def ask(chunk, names, counts):
+        return {"bucket": 3, "chunk": chunk, "names": np.array(names, "<u4").tobytes(), "counts": np.array(counts, "<u1").tobytes()}
+
+    found = collocations.answered(pa.Table.from_pylist([ask(1, [4, 5, 9], [9, 9, 255]), ask(2, [5, 8], [1, 10])]), 10, "<u1").to_pylist()
+    bits = {r["chunk"]: np.unpackbits(np.frombuffer(r["bits"], np.uint8)).tolist() for r in found}
+    assert bits == {1: [0, 1, 1, 0, 0, 0, 0, 0], 2: [1, 1, 0, 0, 0, 0, 0, 0]}
+
+
+def test_high_bound(spark):
+    """A bound above what a byte holds, and texts without words."""
+    rows = [("en", "one two three four. " * 130)] * 3 + [("en", "one two " * 200), ("fr", " . "), (None, "one two " * 299)]
+    want = brute_force(rows, min_count=300)
+    assert want and result(rows, spark, min_count=300, chunk_bytes=1000) == want

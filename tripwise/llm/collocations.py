@@ -1,20 +1,22 @@
 """Phrase collocations from a weighted de Bruijn graph.
 
 Nodes are word pairs, edges the word triples that lead from one pair to the
-next, both within pieces of text and kept apart by language.  Only the longest
-grams, the edges, are counted over the corpus.  The rest follows from the flow:
-a pair occurs as often as its outgoing edges plus its occurrences at the end of
-a piece, a word as often as the pairs that begin with it plus its occurrences
-at the end of a piece.
-
-Counting is done in levels (edges, pairs, words).  A map task counts the grams
-of a few megabytes of text against that chunk's own vocabulary and deals the
-distinct ones to buckets by a hash of the whole gram, so a frequent word, pair
-or language spreads over all buckets; a bucket's sums flow down to the next
-level as one entry for each gram and bucket.  Pairs that are entered by one
-edge and left by one, with no piece beginning or ending in them, are unary:
-maximal runs of them are compacted into paths.  Inside a path all counts are
-equal, so its grams need no look at other tables.
+next, both within pieces of text and kept apart by language.  A node or edge
+that stands fewer than ``min_count`` times takes no part, and nearly all of
+them do, so they are found before anything is spelt out:
+
+* **Names.**  The words of a few megabytes of text are coded once against
+  that chunk's own vocabulary.  A chunk asks with the hashed names of its
+  distinct words, pairs and triples and how often it has them; the names are
+  dealt to buckets by their leading bits, so a frequent word, pair or language
+  spreads over all buckets, and a bucket answers by one bit a name.  Names
+  that fall together only add up, so no frequent gram is ever turned away.
+* **Counts.**  What is left, a small part, is counted by its words, exactly;
+  what only shared a name falls out there.
+
+Pairs that are entered by one edge and left by one, with no piece beginning or
+ending in them, are unary: maximal runs of them are compacted into paths.
+Inside a path all counts are equal, so its grams need no look at other tables.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,21 +32,23 @@ from . import common
 from .shingles import mixed, odd_numbers
 
 MIN_COUNT, LONGEST, PERCENT, TOP = 10, 3, 50, 2000
-#: Bytes of text a task counts at a time, and grams of a bucket in expectation.
-CHUNK, BUCKET = 4 << 20, 1 << 19
-HEAVY = 10  # kind of a level's frequent grams: HEAVY * level
+#: Bytes of text in a chunk, and at most so many grams in a bucket in expectation.
+CHUNK, BUCKET = 8 << 20, 1 << 21
 
-FIELDS = "lang string, kind int, bucket int, grams binary"
-SCHEMA = pa.schema([("lang", pa.string()), ("kind", pa.int32()), ("bucket", pa.int32()), ("grams", pa.binary())])
+CODED = "chunk long, lang string, words long, codes binary, vocabulary binary"
+CODED_SCHEMA = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("words", pa.int64()), ("codes", pa.binary()), ("vocabulary", pa.binary())])
+ASK_SCHEMA = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("names", pa.binary()), ("counts", pa.binary())])
+GRAM_SCHEMA = pa.schema([("lang", pa.string()), ("x", pa.string()), ("y", pa.string()), ("z", pa.string()), ("n", pa.int64())])
 
 # Classes of bytes: 0 of words, 1 between words, 2 between pieces.
 CLASS = np.zeros(256, np.uint8)
 CLASS[[0x20, 0x09]] = 1
 CLASS[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+BYTES = odd_numbers(256, 30)
 
 
-# ---- counting ---------------------------------------------------------------
+# ---- words ------------------------------------------------------------------
 
 def words_of(texts: list[bytes]):
     """(codes of all words, vocabulary, piece of each word) of texts."""
@@ -78,143 +83,191 @@ def summed(grams: np.ndarray, n: np.ndarray, vocabulary: int):
 
 
 def hashed(vocabulary: pa.Array) -> np.ndarray:
-    import xxhash
-
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, vocabulary.to_pylist()), np.uint64, len(vocabulary))
-
-
-def rows_of(lang, kind, grams, n, vocabulary, known, buckets):
-    """Packed rows of grams (in order), one per bucket: a hash of the gram's
-    words, whose hashes are ``known``."""
-    if not len(n):
-        return
-    total = np.zeros(len(n), np.uint64)
-    for g, factor in zip(grams, odd_numbers(LONGEST, 31)):
-        total = total + known[g] * factor
-    bucket = ((mixed(total) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
-    order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
-    edges = np.flatnonzero(np.diff(bucket[order])) + 1
-    for part in np.split(order, edges):
-        yield row_batch(lang, kind, int(bucket[part[0]]), grams[:, part], n[part], vocabulary)
-
-
-def row_batch(lang, kind, bucket, grams, n, vocabulary) -> pa.RecordBatch:
-    """One row: the grams against the words they need, compressed.  Grams are
-    in order, so the first words are stored as steps."""
-    used = np.zeros(len(vocabulary), bool)
-    used[grams.ravel()] = True
-    codes = (np.cumsum(used) - 1)[grams].astype("<u4")
-    words = vocabulary.take(pa.array(np.flatnonzero(used)))
-    spelt = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), " ")[0].as_buffer()
-    steps = np.diff(codes[0], prepend=codes[0][:1] * 0)
-    data = b"".join([np.array([len(n), spelt.size], "<u8").tobytes(), n.astype("<i8").tobytes(), steps.tobytes(),
-                     *[c.tobytes() for c in codes[1:]], spelt.to_pybytes()])
-    blob = np.array([len(data)], "<u8").tobytes() + pa.Codec("zstd", 1).compress(data, asbytes=True)
-    return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((lang, kind, bucket, blob), SCHEMA)], schema=SCHEMA)
-
-
-def opened(blob: bytes, kind: int):
-    """(grams, n, words) of a packed row."""
-    data = pa.Codec("zstd", 1).decompress(blob[8:], int(np.frombuffer(blob, "<u8", 1)[0]))
-    size, _ = (int(x) for x in np.frombuffer(data, "<u8", 2))
-    n = np.frombuffer(data, "<i8", size, 16)
-    codes = np.frombuffer(data, "<u4", size * kind, 16 + 8 * size).reshape(kind, size).astype(np.int64)
-    codes[0] = np.cumsum(codes[0])
-    text = pa.array([data.slice(16 + (8 + 4 * kind) * size).to_pybytes().decode()])
-    return codes, n, pc.split_pattern(text, " ")[0].values
-
-
-def counted(lang: str, texts: list[bytes], buckets: int):
-    """Packed rows of one language's texts: edges (kind 3), pairs at the end
-    of a piece (2) and words at the end of a piece (1)."""
-    codes, vocabulary, pieces = words_of(texts)
-    size, known = len(codes), hashed(vocabulary)
-    follows = lambda k: np.concatenate([pieces[k:] == pieces[:size - k], np.zeros(min(k, size), bool)]) if size else np.zeros(0, bool)
-    for kind in range(LONGEST, 0, -1):
-        # The longest grams count wherever they stand, shorter ones at the end.
-        here = follows(kind - 1) & (True if kind == LONGEST else ~follows(kind))
-        at = np.flatnonzero(here)
-        grams, n = summed(np.stack([codes[at + k] for k in range(kind)]), np.ones(len(at), np.int64), len(vocabulary))
-        yield from rows_of(lang, kind, grams, n, vocabulary, known, buckets)
-
-
-def unpacked(table: pa.Table, kind: int):
-    """(grams, sums of n, vocabulary) of one bucket's packed rows."""
-    parts = [opened(blob, kind) for blob in table.column("grams").to_pylist()]
-    coded = pa.concat_arrays([words for _, _, words in parts]).dictionary_encode()
-    own, at, grams = coded.indices.to_numpy().astype(np.int64), 0, []
-    for codes, _, words in parts:
-        grams.append(own[at:at + len(words)][codes])
-        at += len(words)
-    return *summed(np.concatenate(grams, axis=1), np.concatenate([n for _, n, _ in parts]), len(coded.dictionary)), coded.dictionary
-
-
-def level(packed: DataFrame, kind: int, buckets: int, least: int) -> DataFrame:
-    """Sums one level's grams: those of at least ``least`` occurrences come
-    out as kind HEAVY * kind, and the flow into the level below as its kind.
-    Rows of lower levels pass through."""
-    def run(key, table):
-        lang, own, bucket = (k.as_py() for k in key)
-        if own != kind:
-            return table.select(SCHEMA.names).cast(SCHEMA)
-        grams, n, vocabulary = unpacked(table, kind)
-        heavy = np.flatnonzero(n >= least)
-        out = [row_batch(lang, HEAVY * kind, bucket, grams[:, heavy], n[heavy], vocabulary)] if len(heavy) else []
-        if kind > 1:
-            out.extend(rows_of(lang, kind - 1, *summed(grams[:-1], n, len(vocabulary)), vocabulary, hashed(vocabulary), buckets))
-        return pa.Table.from_batches(out, SCHEMA)
-
-    found = packed.groupBy("lang", "kind", "bucket").applyInArrow(run, FIELDS)
-    return common.written(found, f"colloc-{kind}")
-
-
-def grams_of(packed: DataFrame, kind: int, names: list[str]) -> DataFrame:
-    """One row per frequent gram of a level: lang, its words, n."""
-    def run(batches):
-        for batch in batches:
-            for lang, blob in zip(batch.column("lang").to_pylist(), batch.column("grams").to_pylist()):
-                codes, n, words = opened(blob, kind)
-                columns = [pa.array([lang]).take(pa.array(np.zeros(len(n), np.int64))), *[words.take(pa.array(c)) for c in codes], pa.array(n)]
-                whole = pa.RecordBatch.from_arrays(columns, names=["lang", *names, "n"])
-                for at in range(0, len(n), 50_000):
-                    yield whole.slice(at, 50_000)
-
-    fields = ", ".join(["lang string", *[f"{name} string" for name in names], "n long"])
-    return packed.filter(F.col("kind") == HEAVY * kind).mapInArrow(run, fields)
-
-
-def graph(docs: DataFrame, min_count: int = MIN_COUNT, chunk_bytes: int = CHUNK, bucket_grams: int = BUCKET):
-    """(edges lang, x, y, z, n; pairs lang, x, y, n; words lang, x, n): edges
-    and pairs from ``min_count`` occurrences on, all words.  A null language is ``und``,
-    a null text empty."""
-    spark = docs.sparkSession
+    """A 64-bit hash of every word: its bytes' values, each times a factor of
+    its place."""
+    lengths = pc.binary_length(vocabulary).to_numpy(zero_copy_only=False).astype(np.int64)
+    starts = np.cumsum(lengths) - lengths
+    data = np.frombuffer(pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(lengths)], pa.int32()), vocabulary), "")[0].as_buffer(), np.uint8)
+    places = (np.arange(len(data)) - np.repeat(starts, lengths)).astype(np.uint64)
+    return mixed(np.add.reduceat(BYTES[data] * mixed(places + np.uint64(1)), starts))
+
+
+# ---- chunks -----------------------------------------------------------------
+
+def packed(chunk: int, lang: str, codes: np.ndarray, vocabulary: pa.Array, pieces: np.ndarray) -> pa.RecordBatch:
+    """One row: the codes of the words, 0 between pieces, and the words that
+    1, 2, ... stand for, compressed."""
+    codes = np.insert(codes + 1, np.flatnonzero(np.diff(pieces)) + 1, 0).astype("<u4")
+    spelt = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(vocabulary)], pa.int32()), vocabulary), " ")[0].as_buffer()
+    blobs = [np.array([len(b)], "<u8").tobytes() + pa.Codec("zstd", 1).compress(b, asbytes=True) for b in (codes.tobytes(), spelt.to_pybytes())]
+    row = (chunk, lang, int(np.count_nonzero(codes)), *blobs)
+    return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, CODED_SCHEMA)], schema=CODED_SCHEMA)
+
+
+def coded(docs: DataFrame, chunk_bytes: int) -> DataFrame:
+    """One row per chunk of one language's texts.  Written, as answers are
+    matched with a chunk's names by their order."""
     plain = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"))
-    total, = plain.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()
-    buckets = max(1, -(-total // (6 * bucket_grams)))
 
-    def count(batches):
-        held, sizes = {}, {}
+    def run(batches):
+        held, sizes, made = {}, {}, TaskContext.get().partitionId() << 32
+
+        def chunk(lang):
+            nonlocal made
+            made += 1
+            sizes.pop(lang)
+            return packed(made, lang, *words_of(held.pop(lang)))
+
         for batch in batches:
             for lang, data in zip(batch.column("lang").to_pylist(), batch.column("data").to_pylist()):
                 held.setdefault(lang, []).append(data)
                 sizes[lang] = sizes.get(lang, 0) + len(data)
                 # Large chunks share more words; with many languages the
                 # largest goes first.
-                full = lang if sizes[lang] >= chunk_bytes else max(sizes, key=sizes.get) if sum(sizes.values()) >= 6 * chunk_bytes else None
+                full = lang if sizes[lang] >= chunk_bytes else max(sizes, key=sizes.get) if sum(sizes.values()) >= 4 * chunk_bytes else None
                 if full is not None:
-                    sizes.pop(full)
-                    yield from counted(full, held.pop(full), buckets)
-        for key, texts in held.items():
-            yield from counted(key, texts, buckets)
+                    yield chunk(full)
+        for lang in list(held):
+            yield chunk(lang)
+
+    return common.written(plain.mapInArrow(run, CODED), "colloc-chunks")
+
+
+class Chunk:
+    """A chunk's words and the names of its grams: ``buckets`` times a hash
+    as a fraction, the bucket above 32 bits of the rest."""
+
+    def __init__(self, row, buckets):
+        import xxhash
+
+        unpack = lambda blob: pa.Codec("zstd", 1).decompress(blob[8:], int(np.frombuffer(blob, "<u8", 1)[0]))
+        self.lang, self.buckets = row["lang"], np.uint64(buckets)
+        self.codes = np.frombuffer(unpack(row["codes"]), "<u4").astype(np.int64) - 1
+        self.vocabulary = pc.split_pattern(pa.array([unpack(row["vocabulary"]).to_pybytes()]).cast(pa.string()), " ")[0].values
+        self.known = hashed(self.vocabulary)
+        self.salt = xxhash.xxh3_64_intdigest(self.lang)
+
+    def places(self, kind: int) -> np.ndarray:
+        """Where ``kind`` words stand in one piece."""
+        word = self.codes >= 0
+        here = word[:max(0, len(word) - kind + 1)]
+        for k in range(1, kind):
+            here = here & word[k:len(word) - kind + 1 + k]
+        return np.flatnonzero(here)
+
+    def names(self, kind: int, at: np.ndarray) -> np.ndarray:
+        total = np.full(len(at), self.salt, np.uint64)
+        for k, factor in enumerate(odd_numbers(kind, 31 + kind)):
+            total += (self.known * factor)[self.codes[at + k]]
+        return ((mixed(total) >> np.uint64(20)) * self.buckets) >> np.uint64(12)
+
+    def distinct(self):
+        """The distinct names of all grams in order and how often they stand here."""
+        names = np.sort(np.concatenate([self.names(kind, self.places(kind)) for kind in range(1, LONGEST + 1)]))
+        first = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
+        return names[first], np.diff(np.append(first, len(names)))
+
+    def grams(self, kind: int, at: np.ndarray):
+        """Batches of the grams at some places, with their counts."""
+        codes, n = summed(np.stack([self.codes[at + k] for k in range(kind)]), np.ones(len(at), np.int64), len(self.vocabulary))
+        for a in range(0, len(n), 50_000):
+            part, size = codes[:, a:a + 50_000], len(n[a:a + 50_000])
+            words = [self.vocabulary.take(pa.array(c)) for c in part] + [pa.nulls(size, pa.string())] * (LONGEST - kind)
+            lang = pa.array([self.lang]).take(pa.array(np.zeros(size, np.int64)))
+            yield pa.RecordBatch.from_arrays([lang, *words, pa.array(n[a:a + 50_000])], schema=GRAM_SCHEMA)
 
-    with common.batches_of(spark, rows=1000):
-        three = level(plain.mapInArrow(count, FIELDS), 3, buckets, min_count)
-        two = level(three.filter("kind IN (1, 2)"), 2, buckets, min_count)
-        one = level(two.filter("kind = 1"), 1, buckets, 1)
-        edges = common.written(grams_of(three, 3, ["x", "y", "z"]), "colloc-edges")
-        pairs = common.written(grams_of(two, 2, ["x", "y"]), "colloc-pairs")
-        return edges, pairs, common.written(grams_of(one, 1, ["x"]), "colloc-words")
+
+# ---- counting ---------------------------------------------------------------
+
+def cuts_of(names: np.ndarray) -> np.ndarray:
+    """Bounds of the buckets among names in order."""
+    bucket = names >> np.uint64(32)
+    return np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(names)]])
+
+
+def asks_of(chunk: int, names: np.ndarray, n: np.ndarray, counts: str, most: int):
+    """(bucket, chunk, lower 32 bits of the names, counts) of every bucket."""
+    n, rest, cuts = np.minimum(n, most).astype(counts), names.astype("<u4"), cuts_of(names)
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        yield int(names[a] >> np.uint64(32)), chunk, rest[a:b].tobytes(), n[a:b].tobytes()
+
+
+def answered(table: pa.Table, min_count: int, counts: str) -> pa.Table:
+    """For one bucket's asks the bits of the names that all chunks together
+    have ``min_count`` times."""
+    blobs = [np.frombuffer(x, "<u4") for x in table.column("names").to_pylist()]
+    n = np.concatenate([np.frombuffer(x, counts) for x in table.column("counts").to_pylist()])
+    names = np.concatenate(blobs)
+    order = np.argsort(names)
+    names = names[order]
+    first = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
+    sums = np.add.reduceat(n[order], first, dtype=np.int64)
+    bits = np.empty(len(names), bool)
+    bits[order] = np.repeat(sums >= min_count, np.diff(np.append(first, len(names))))
+    ends = np.cumsum([len(x) for x in blobs])
+    return table.select(["chunk", "bucket"]).append_column("bits", pa.array(
+        [np.packbits(bits[e - len(x):e]).tobytes() for e, x in zip(ends, blobs)], pa.binary()))
+
+
+def frequent(chunks: DataFrame, min_count: int, bucket_grams: int) -> DataFrame:
+    """lang, x, y, z, n of all words (y and z null), pairs (z null) and triples
+    of at least ``min_count`` occurrences."""
+    spark, chunks = chunks.sparkSession, chunks.filter("words > 0")
+    total, = chunks.agg(F.coalesce(F.sum("words"), F.lit(0))).first()
+    buckets = min(1 << 20, max(1, -(-LONGEST * total // bucket_grams)))
+    # Counts up to the bound are enough to tell whether the sum reaches it.
+    counts, most = ("<u1", 255) if min_count <= 255 else ("<u4", (1 << 32) - 1)
+
+    def ask(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                asks = list(asks_of(row["chunk"], *Chunk(row, buckets).distinct(), counts, most))
+                for k in range(0, len(asks), 64):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*asks[k:k + 64]), ASK_SCHEMA)], schema=ASK_SCHEMA)
+
+    def spell(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                chunk = Chunk(row, buckets)
+                names, _ = chunk.distinct()
+                cuts, bits = cuts_of(names), {a["bucket"]: a["bits"] for a in row["answers"]}
+                names = np.concatenate([names[a:b][np.unpackbits(np.frombuffer(bits[int(names[a] >> np.uint64(32))], np.uint8), count=b - a).astype(bool)]
+                                        for a, b in zip(cuts[:-1], cuts[1:])])
+                if not len(names):
+                    continue
+                fit = np.ones(len(chunk.codes) + 1, bool)
+                for kind in range(1, LONGEST + 1):
+                    # The parts of a frequent gram are frequent.
+                    at = chunk.places(kind)
+                    at = at[fit[at] & fit[at + (kind > 1)]]
+                    own = chunk.names(kind, at)
+                    at = at[names[np.minimum(np.searchsorted(names, own), len(names) - 1)] == own]
+                    fit[:] = False
+                    fit[at] = True
+                    if len(at):
+                        yield from chunk.grams(kind, at)
+
+    with common.batches_of(spark, rows=8):
+        asks = chunks.select("chunk", "lang", "codes", "vocabulary").mapInArrow(ask, "bucket int, chunk long, names binary, counts binary")
+        found = asks.groupBy("bucket").applyInArrow(lambda table: answered(table, min_count, counts), "chunk long, bucket int, bits binary")
+        answers = common.written(found.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers")), "colloc-answers")
+        left = met(chunks.drop("words"), answers, "chunk").mapInArrow(spell, "lang string, x string, y string, z string, n long")
+        return common.written(left.groupBy("lang", "x", "y", "z").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count), "colloc-grams")
+
+
+def graph_of(chunks: DataFrame, min_count: int = MIN_COUNT, bucket_grams: int = BUCKET):
+    grams = frequent(chunks, min_count, bucket_grams)
+    return (grams.filter("z IS NOT NULL"), grams.filter("y IS NOT NULL AND z IS NULL").drop("z"), grams.filter("y IS NULL").drop("y", "z"))
+
+
+def graph(docs: DataFrame, min_count: int = MIN_COUNT, chunk_bytes: int = CHUNK, bucket_grams: int = BUCKET):
+    """(edges lang, x, y, z, n; pairs lang, x, y, n; words lang, x, n): those
+    of at least ``min_count`` occurrences.  A null language is ``und``, a null
+    text empty."""
+    with common.batches_of(docs.sparkSession, rows=1000):
+        chunks = coded(docs, chunk_bytes)
+    return graph_of(chunks, min_count, bucket_grams)
 
 
 # ---- paths ------------------------------------------------------------------
@@ -267,16 +320,18 @@ def scored(rows: DataFrame) -> DataFrame:
     return rows.withColumn("best", best).select("lang", "phrase", "a", F.col("best.l").alias("l"), F.col("best.r").alias("r"), F.col("best.score").alias("score"))
 
 
-def phrases(docs: DataFrame, min_count: int = MIN_COUNT, percent: int = PERCENT, **sizes) -> DataFrame:
+def phrases(docs: DataFrame, min_count: int = MIN_COUNT, percent: int = PERCENT, chunk_bytes: int = CHUNK, bucket_grams: int = BUCKET) -> DataFrame:
     """lang, phrase, a, l, r, n, score of every phrase that stands: pairs and
     triples of at least ``min_count`` occurrences, except pairs inside a triple
     that has ``percent`` of their occurrences or more.
 
     A null language is ``und``, a null or empty text has no words; repeated
     rows count each; other columns are not looked at; no rows give no rows."""
-    edges, pairs, words = graph(docs, min_count, **sizes)
+    with common.batches_of(docs.sparkSession, rows=1000):
+        chunks = coded(docs, chunk_bytes)
+    edges, pairs, words = graph_of(chunks, min_count, bucket_grams)
     paths = common.written(unary_paths(edges, pairs), "colloc-paths")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = chunks.groupBy("lang").agg(F.sum("words").alias("n"))
     inner = F.sequence(F.lit(1), F.size("words") - 3)  # pairs that are unary
     unary = paths.select("lang", F.explode(F.transform(inner, lambda k: F.struct(F.get("words", k).alias("x"), F.get("words", k + 1).alias("y")))).alias("p"))
     unary = unary.select("lang", "p.x", "p.y")
