@@ -120,12 +120,12 @@ def similar(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> n
 def sketched(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, class_hi, class_lo (128 bits of the word sequence),
     n_shingles (of the set), registers; a text without words has no class."""
-    common.bounded_batches(docs.sparkSession, rows=1000)
+    common.bounded_batches(docs.sparkSession, rows=1000, size=4 << 20)
 
     def run(batches):
         schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("class_hi", pa.int64()),
                             ("class_lo", pa.int64()), ("n_shingles", pa.int64()), ("registers", pa.binary())])
-        for batch in batches:
+        for batch in common.lean(batches):
             hashes, offsets, sizes, high, low = sets_of(batch.column("text"))
             rows = sketch(hashes, offsets)
             empty = sizes == 0
@@ -193,7 +193,7 @@ def likely_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """a, b, likeness of the pairs that may reach the threshold."""
     def run(batches):
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("likeness", pa.float64())])
-        for batch in batches:
+        for batch in common.lean(batches):
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS) for c in ("ra", "rb"))
             found = similar(x, y, batch.column("na").to_numpy(), batch.column("nb").to_numpy())
             keep = pa.array(found >= LIKELY)
@@ -217,7 +217,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     carried = pairs.schema
 
     def confirm(batches):
-        for batch in batches:
+        for batch in common.lean(batches):
             left, lo, ln, _, _ = sets_of(batch.column("ta"))
             right, ro, rn, _, _ = sets_of(batch.column("tb"))
             row = lambda o: np.repeat(np.arange(len(o) - 1), np.diff(o))
@@ -346,7 +346,7 @@ def across_components(members: DataFrame, texts: DataFrame) -> DataFrame:
     fewer than the row group has components."""
     def sets(batches):
         schema = pa.schema([("cid", pa.int64()), ("shingles", pa.binary())])
-        for batch in batches:
+        for batch in common.lean(batches):
             hashes, offsets, *_ = sets_of(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("cid"), pa.array(
                 [hashes[a:b].tobytes() for a, b in zip(offsets, offsets[1:])], pa.binary())], schema=schema)

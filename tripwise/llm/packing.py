@@ -37,13 +37,13 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id:
     of ``capacity`` only where longer.  ``uid`` numbers the pieces; repeated
     rows and null ids are kept, each as its own document.  Write the result
     before using it twice, so that uids stay as they are."""
-    common.bounded_batches(docs.sparkSession)
+    common.bounded_batches(docs.sparkSession, size=4 << 20)
 
     def cut(batches):
         schema = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
                             ("length", pa.int64()), ("ids", pa.binary())])
         uid = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in common.lean(batches, keep=True):
             ids, offsets = encode_with_end(batch.column("text"), vocabulary, end_id)
             doc_ids, nulls = common.int_column(batch.column("doc_id"))
             tokens = np.diff(offsets)
@@ -66,7 +66,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id:
 def digests(pieces: DataFrame) -> DataFrame:
     """The pieces with the crc32 of their ids in place of the ids."""
     def crc(batches):
-        for batch in batches:
+        for batch in common.lean(batches):
             sums = pa.array([zlib.crc32(x.as_buffer()) for x in batch.column("ids")], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], sums], names=[*batch.schema.names[:5], "ids_crc32"])
 

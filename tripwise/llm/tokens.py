@@ -24,6 +24,9 @@ from .common import worker_cache
 #: Letters that lower-case and compose (NFC) one by one, then punctuation.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-/:-@\[-`{-~]*)")
 
+#: Chunks that an encoder remembers, and pieces of chunks.
+CACHE_WORDS = 400_000
+
 
 class Runs:
     """Number runs by text, for texts that occur again and again.
@@ -40,8 +43,12 @@ class Runs:
         self.uses = np.zeros(0, np.int64)
 
     def add(self, text: str, values) -> int:
+        """Values are numbers, or their bytes."""
         self.starts.append(len(self.pool))
-        self.pool.extend(values)
+        if isinstance(values, bytes):
+            self.pool.frombytes(values)
+        else:
+            self.pool.extend(values)
         self.ends.append(len(self.pool))
         at = self.index[text] = len(self.starts) - 1
         return at
@@ -83,10 +90,12 @@ class Runs:
 class WordEncoder:
     """Encoder for a vocabulary whose tokens never span white space.
 
-    ``cache_words`` bounds the distinct chunks that are remembered.
+    ``cache_words`` bounds the distinct chunks that are remembered, and also
+    their pieces.  The encoder outlives its task in the worker, and so do they:
+    ids are held as bytes, which take a third of what lists of numbers do.
     """
 
-    def __init__(self, path: str, cache_words: int = 500_000):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -94,23 +103,28 @@ class WordEncoder:
         self.model = self.library.model
         self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.limit = cache_words
-        self.pieces: dict[str, list[int]] = {}
+        # Beyond half the limit the older pieces go, save those met again.
+        self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.runs = Runs("I", cache_words)
 
-    def piece(self, text: str) -> list[int]:
+    def piece(self, text: str) -> bytes:
         ids = self.pieces.get(text)
         if ids is None:
-            if len(self.pieces) >= self.limit:
-                self.pieces.clear()
-            spelt = text if text.isascii() else self.byte_level.pre_tokenize_str(text)[0][0]
-            ids = self.pieces[text] = [t.id for t in self.model.tokenize(spelt)]
+            ids = self.older.get(text)
+            if ids is None:
+                spelt = text if text.isascii() else self.byte_level.pre_tokenize_str(text)[0][0]
+                ids = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+            if len(self.pieces) >= self.limit // 2:
+                self.older, self.pieces = self.pieces, {}
+            self.pieces[text] = ids
         return ids
 
     def chunk(self, word: str) -> int:
         plain = PLAIN.fullmatch(word)
         if plain:
             letters, marks = plain.groups()
-            ids = (self.piece(letters.lower()) if letters else []) + (self.piece(marks) if marks else [])
+            ids = (self.piece(letters.lower()) if letters else b"") + (self.piece(marks) if marks else b"")
         else:
             ids = self.library.encode(word, add_special_tokens=False).ids
         return self.runs.add(word, ids)

@@ -94,7 +94,7 @@ def weighted(rows: DataFrame) -> DataFrame:
 
     def sketch(batches):
         schema = pa.schema([("uid", pa.int64()), ("key", pa.int64())])
-        for batch in batches:
+        for batch in common.lean(batches):
             least = smallest(*shingle_hashes(*word_hashes(batch.column("text")), 3), odd_numbers(LEAST, 5))
             least = mixed(least + np.arange(LEAST, dtype=np.uint64))
             keys = np.stack([mixed(least[:, c].sum(axis=1, dtype=np.uint64) + np.uint64(k)) for k, c in enumerate(chosen)], axis=1).view(np.int64)
@@ -111,7 +111,7 @@ def feature_counts(rows: DataFrame) -> DataFrame:
     in UNITs, by weight."""
     def count(batches):
         schema = pa.schema([("feature", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
-        for batch in batches:
+        for batch in common.lean(batches):
             words, which, offsets = split_words(batch.column("text"))
             if not len(which):
                 continue
@@ -320,7 +320,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     rows and near copies count once, by weight; other columns are not looked at.
     The word list takes features of t >= 2.5, at most LEXICON of them, and the
     chain about ``sample_docs`` documents of each label."""
-    common.bounded_batches(docs.sparkSession)
+    common.bounded_batches(docs.sparkSession, size=4 << 20)
     rows = common.written(weighted(training_rows(docs, labels)), "toxic-training")
     sizes = {r.toxic: r.n for r in rows.groupBy("toxic").agg((F.sum("weight") / float(UNIT)).alias("n")).collect()}  # two labels
     nothing = Model({}, np.array([-8.0, 0, 0, 0, 0]), np.zeros((2, 2)), np.zeros(2), np.array([-2.0, 0, 0, 0]))
@@ -386,7 +386,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with toxic_score (0 to 1) and toxic_spans (character offsets)
     appended to its columns; only the text is looked at.  Null, empty and
     blank texts get the score of a text without evidence."""
-    common.bounded_batches(docs.sparkSession)
+    common.bounded_batches(docs.sparkSession, size=4 << 20)
     span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
     wanted = T.StructType([*docs.schema.fields, T.StructField("toxic_score", T.DoubleType()), T.StructField("toxic_spans", T.ArrayType(span))])
     text_at = docs.columns.index("text")
@@ -406,7 +406,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             return found
 
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        for batch in batches:
+        for batch in common.lean(batches):
             texts = batch.column(text_at)
             offsets, p = marginals(model, texts, odds_of)
             inputs = score_inputs(offsets, p)
